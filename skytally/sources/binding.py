@@ -12,10 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.functions.columns import CAUSES
 from skytally.sources.schema import FLIGHT_COLUMNS
 
 # The columns used of each table. Declared, so opening a table runs no job to find its schema.
@@ -30,71 +29,70 @@ TABLES = {
     "region": "r_regionkey int, r_name string",
 }
 
-# The line numbers whose delay goes to each cause, and the line numbers with a cancellation code.
+# What needs no other table, narrowed before the joins move it. ``flown`` is the date of a flight that took place and null
+# otherwise; delays are differences to it, so a filter on a delay drops the other rows before the join. The condition is
+# null-safe, hence never null, which lets a filter on CANCELLED turn back into it and reach the scan.
+FACTS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "cast(l_shipdate as date) as FL_DATE",
+    "if(l_returnflag <=> 'R', null, cast(l_shipdate as date)) as flown",
+    "if(l_returnflag <=> 'R', 1.0D, 0.0D) as CANCELLED",
+    "if(l_returnflag <=> 'R', decode(l_linenumber, 1, 'A', 2, 'B', 3, 'C', 4, 'D'), null) as CANCELLATION_CODE",
+)
+
+# The line numbers whose delay goes to each cause, from 15 days on.
 CAUSE_LINES = {
-    "CARRIER_DELAY": (1, 6),
-    "WEATHER_DELAY": (2,),
-    "NAS_DELAY": (3,),
-    "SECURITY_DELAY": (4,),
-    "LATE_AIRCRAFT_DELAY": (5, 7),
+    "CARRIER_DELAY": "1, 6",
+    "WEATHER_DELAY": "2",
+    "NAS_DELAY": "3",
+    "SECURITY_DELAY": "4",
+    "LATE_AIRCRAFT_DELAY": "5, 7",
+}
+
+LAG = "datediff(flown, ordered)"
+DELAYS = {
+    "ARR_DELAY": f"cast({LAG} as double)",
+    "DEP_DELAY": f"cast({LAG} - l_linenumber as double)",
+    **{
+        cause: f"if({LAG} >= 15, if(l_linenumber in ({lines}), cast({LAG} as double), 0.0D), null)"
+        for cause, lines in CAUSE_LINES.items()
+    },
 }
-CODE_LINES = {1: "A", 2: "B", 3: "C", 4: "D"}
-ATTRIBUTED_FROM = 15
-
-
-def _flight_expressions() -> dict[str, Column]:
-    # Null-safe equality is never null, which lets Spark split these conditions and push them to the scan.
-    returned = "l_returnflag <=> 'R'"
-    lag = "datediff(cast(l_shipdate as date), cast(o_orderdate as date))"
-    line = F.col("l_linenumber")
-    code = F.coalesce(*[F.when(line == k, F.lit(v)) for k, v in CODE_LINES.items()])
-    causes = {}
-    for cause in CAUSES:
-        lines = ", ".join(map(str, CAUSE_LINES[cause]))
-        causes[cause] = F.expr(
-            f"if(not {returned} and {lag} >= {ATTRIBUTED_FROM}, "
-            f"if(l_linenumber in ({lines}), cast({lag} as double), 0.0D), null)"
-        )
-    return {
-        "FL_DATE": F.col("l_shipdate").cast("date"),
-        "OP_CARRIER": F.col("p_brand"),
-        "ORIGIN": F.col("n_name"),
-        "DEST": F.col("r_name"),
-        "ARR_DELAY": F.expr(f"if(not ({returned}), cast({lag} as double), null)"),
-        "DEP_DELAY": F.expr(f"if(not ({returned}), cast({lag} - l_linenumber as double), null)"),
-        "CANCELLED": F.expr(f"if({returned}, 1.0D, 0.0D)"),
-        "CANCELLATION_CODE": F.when(F.expr(returned), code),
-        **causes,
-    }
 
 
 def bind_flights(spark: SparkSession, sf_dir: str, columns: Iterable[str] = FLIGHT_COLUMNS) -> DataFrame:
     """The order tables in ``sf_dir`` as flights, with the given columns and only the joins these need."""
     wanted = list(columns)
-    expressions = _flight_expressions()
-    unknown = [c for c in wanted if c not in expressions]
+    unknown = [c for c in wanted if c not in FLIGHT_COLUMNS]
     if unknown:
         raise ValueError(f"no such flight column: {', '.join(unknown)}")
 
     def table(name: str) -> DataFrame:
         return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    def attach(df: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:
-        return df.join(other, df[key] == other[other_key], "left")
-
-    needs_delay = any(c in ("ARR_DELAY", "DEP_DELAY") or c in CAUSES for c in wanted)
-    flights = table("lineitem")
-    if needs_delay or "DEST" in wanted:
-        orders = table("orders")
+    flights = table("lineitem").selectExpr(*FACTS)
+    if "DEST" in wanted or any(c in DELAYS for c in wanted):
+        orders = table("orders").selectExpr("o_orderkey", "o_custkey", "cast(o_orderdate as date) as ordered")
         if "DEST" in wanted:
-            # Attached to orders first: a quarter of the rows to shuffle by customer, compared with lineitem.
-            regions = attach(table("nation").drop("n_name"), table("region"), "n_regionkey", "r_regionkey")
-            customers = attach(table("customer"), regions, "c_nationkey", "n_nationkey").select("c_custkey", "r_name")
-            orders = attach(orders, customers, "o_custkey", "c_custkey")
-        flights = attach(flights, orders, "l_orderkey", "o_orderkey")
+            # Customers meet orders first: a quarter of the rows to shuffle by customer, compared with lineitem.
+            orders = _attach(orders, table("customer"), "o_custkey", "c_custkey")
+        flights = _attach(flights, orders, "l_orderkey", "o_orderkey")
     if "OP_CARRIER" in wanted:
-        flights = attach(flights, table("part"), "l_partkey", "p_partkey")
+        carriers = table("part").selectExpr("p_partkey", "p_brand as OP_CARRIER")
+        flights = _attach(flights, carriers, "l_partkey", "p_partkey")
     if "ORIGIN" in wanted:
-        suppliers = attach(table("supplier"), table("nation"), "s_nationkey", "n_nationkey")
-        flights = attach(flights, suppliers.select("s_suppkey", "n_name"), "l_suppkey", "s_suppkey")
-    return flights.select(*[expressions[c].alias(c) for c in wanted])
+        origins = table("nation").selectExpr("n_nationkey as origin_key", "n_name as ORIGIN")
+        flights = _attach(flights, table("supplier"), "l_suppkey", "s_suppkey")
+        flights = _attach(flights, origins, "s_nationkey", "origin_key")
+    if "DEST" in wanted:
+        nations = table("nation").selectExpr("n_nationkey as dest_key", "n_regionkey")
+        regions = _attach(nations, table("region"), "n_regionkey", "r_regionkey")
+        flights = _attach(flights, regions.selectExpr("dest_key", "r_name as DEST"), "c_nationkey", "dest_key")
+    return flights.selectExpr(*[f"{DELAYS[c]} as {c}" if c in DELAYS else c for c in wanted])
+
+
+def _attach(df: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:
+    return df.join(other, F.expr(f"{key} = {other_key}"), "left")
