@@ -26,18 +26,24 @@ def read_header(spark: SparkSession, path: str, *, pattern: str = "*.csv") -> li
 
 
 def load_flights(
-    spark: SparkSession, path: str | list[str], *, pattern: str = "*.csv", keep_bad: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    pattern: str = "*.csv",
+    header: list[str] | None = None,
+    keep_bad: bool = False,
 ) -> DataFrame:
     """Flights of all matching files, with the declared columns only.
 
     Types are declared, so nothing is scanned to infer them and one bad value cannot turn a column into text. All files
     need the columns in the same order; a file that differs is an error, not silently swapped values.
 
-    ``keep_bad`` adds the column ``_bad`` with the whole line where a value did not parse. It is filled in when that
+    ``header`` gives the column names of the files; without it they are taken from one file, for which the folder is
+    listed once more. ``keep_bad`` adds the column ``_bad`` with the whole line where a value did not parse. It is filled in when that
     value is read, so land such a frame (``sinks.land_flights``) before counting bad lines.
     """
-    first = path if isinstance(path, str) else path[0]
-    header = read_header(spark, first, pattern=pattern)
+    if header is None:
+        header = read_header(spark, path if isinstance(path, str) else path[0], pattern=pattern)
     reader = (
         spark.read.schema(schema_for_header(header, keep_bad=keep_bad))
         .options(**_PARSE_OPTIONS)

@@ -1,0 +1,133 @@
+"""Reports on the hand-written flights, against rows worked out by hand."""
+
+from skytally import reports, sql_report
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_volume(fixture_flights):
+    assert rows(reports.volume_by_group(fixture_flights)) == [("DL", 6), ("AA", 4), ("D,L", 1)]
+    assert rows(reports.volume_by_group(fixture_flights, limit=2)) == [("DL", 6), ("AA", 4)]
+    assert rows(reports.flight_count(fixture_flights)) == [(11,)]
+
+
+def test_delay_by_group(fixture_flights):
+    assert rows(reports.delay_by_group(fixture_flights)) == [("AA", 3, 23.33, 40.0), ("DL", 3, 20.0, 30.0)]
+
+
+def test_delay_of_all_flights(fixture_flights):
+    all_flights = reports.delay_by_group(fixture_flights, only_positive=False)
+    assert rows(all_flights) == [("AA", 4, 16.25, 40.0), ("DL", 4, 15.0, 30.0)]
+
+
+def test_cause_totals(fixture_flights):
+    assert rows(reports.cause_totals(fixture_flights)) == [(15.0, 45.0, 15.0, 0.0, 45.0)]
+
+
+def test_worst_groups(fixture_flights):
+    assert rows(reports.worst_groups(fixture_flights, min_support=0)) == [("ATL", 4, 16.5), ("JFK", 3, 12.0)]
+    assert rows(reports.worst_groups(fixture_flights, min_support=3)) == [("ATL", 4, 16.5)]
+    assert rows(reports.worst_groups(fixture_flights)) == []
+
+
+def test_reasons(fixture_flights):
+    assert rows(reports.reason_counts(fixture_flights)) == [("B", 1), (None, 1)]
+    assert rows(reports.reason_counts(fixture_flights, drop_blank=True, decode=True)) == [("B", 1, "Weather")]
+    assert rows(reports.reason_share(fixture_flights)) == [("B", 1, 50.0, "Weather"), (None, 1, 50.0, "Unknown")]
+
+
+def test_monthly_trend(fixture_flights):
+    assert rows(reports.monthly_trend(fixture_flights)) == [(1, 23.33), (7, 20.0)]
+    assert rows(reports.monthly_trend(fixture_flights, label=True)) == [(1, 23.33, "Jan"), (7, 20.0, "Jul")]
+
+
+def test_top_routes(fixture_flights):
+    assert rows(reports.top_routes(fixture_flights, min_support=0)) == [
+        ("AA", "JFK", "LAX", 23.33, 3, 1),
+        ("DL", "ATL", "LAX", 22.5, 2, 1),
+        ("DL", "ATL", "SFO", 15.0, 1, 2),
+    ]
+    assert rows(reports.top_routes(fixture_flights, min_support=1, k=1)) == [
+        ("AA", "JFK", "LAX", 23.33, 3, 1),
+        ("DL", "ATL", "LAX", 22.5, 2, 1),
+    ]
+
+
+def test_year_summary(fixture_flights):
+    assert rows(reports.year_summary(fixture_flights)) == [(2017, 8, 3, 2, 20.0, 25.0), (2018, 3, 3, 0, 23.33, 0.0)]
+
+
+def test_year_summary_change(fixture_flights):
+    first, second = rows(reports.year_summary_change(fixture_flights))
+    assert first == (2017, None, None, None, None, None)
+    # mean 20.0 -> 23.33 and rate 25.0 -> 0.0
+    assert second == (2018, -62.5, 0.0, -100.0, 16.6, -100.0)
+
+
+def test_year_cause_minutes(fixture_flights):
+    assert rows(reports.year_cause_minutes(fixture_flights, unit=1.0)) == [
+        (2017, 5.0, 30.0, 0.0, 0.0, 15.0),
+        (2018, 10.0, 15.0, 15.0, 0.0, 30.0),
+    ]
+    assert rows(reports.year_cause_minutes(fixture_flights, ["NAS_DELAY"], unit=10.0)) == [(2017, 0.0), (2018, 1.5)]
+
+
+def test_top_carriers_per_year(fixture_flights):
+    assert rows(reports.top_carriers_per_year(fixture_flights)) == [
+        (2017, "DL", 30.0, 1, 1),
+        (2017, "AA", 15.0, 2, 2),
+        (2018, "AA", 40.0, 1, 1),
+        (2018, "DL", 15.0, 2, 2),
+    ]
+    assert rows(reports.top_carriers_per_year(fixture_flights, k=1, years=[2018])) == [(2018, "AA", 40.0, 1, 1)]
+
+
+def test_cause_share(fixture_flights):
+    assert rows(reports.cause_share(fixture_flights)) == [
+        ("Late Aircraft", 45.0, 37.5),
+        ("Weather", 45.0, 37.5),
+        ("Carrier", 15.0, 12.5),
+        ("NAS", 15.0, 12.5),
+        ("Security", 0.0, 0.0),
+    ]
+
+
+def test_cause_change(fixture_flights):
+    changes = {(r.cause, r.year): r.change_pct for r in reports.cause_change(fixture_flights).collect()}
+    assert {k: v for k, v in changes.items() if k[1] == 2017} == {
+        (c, 2017): None for c in ("Carrier", "Weather", "NAS", "Security", "Late Aircraft")
+    }
+    assert changes["Carrier", 2018] == 100.0
+    assert changes["Late Aircraft", 2018] == 100.0
+    assert changes["Weather", 2018] == -50.0
+    assert changes["NAS", 2018] is None
+    assert changes["Security", 2018] is None
+
+
+def test_headline(fixture_flights):
+    assert reports.headline_extremes(fixture_flights, min_support=0).collect()[0].asDict() == {
+        "busiest_carrier": "DL",
+        "busiest_carrier_flights": 6,
+        "worst_carrier": "AA",
+        "worst_carrier_avg_delay_min": 23.33,
+        "worst_origin": "ATL",
+        "worst_origin_avg_dep_delay_min": 16.5,
+        "worst_month": 1,
+        "best_month": 7,
+        "top_cause": "Late Aircraft",
+        "top_cause_pct": 37.5,
+        "top_reason": "Weather",
+        "top_reason_pct": 50.0,
+    }
+
+
+def test_headline_without_support(fixture_flights):
+    row = reports.headline_extremes(fixture_flights).collect()[0]
+    assert row.worst_origin is None and row.busiest_carrier == "DL"
+
+
+def test_sql_text(fixture_flights):
+    assert rows(sql_report(fixture_flights, "volume_by_carrier", limit=1)) == [("DL", 6)]
+    assert rows(sql_report(fixture_flights, "worst_origins", min_support=3)) == [("ATL", 4, 16.5)]
