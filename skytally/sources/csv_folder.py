@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from skytally.sources.schema import BAD_LINE, FLIGHT_COLUMNS, schema_for_header
 
+# Fixed value: the files of a folder that are read, plain or compressed.
+FILES = "*.{csv,csv.gz,csv.bz2}"
+
 _PARSE_OPTIONS = {
     "mode": "PERMISSIVE",
     "ignoreLeadingWhiteSpace": "true",
@@ -19,7 +22,7 @@ _PARSE_OPTIONS = {
 }
 
 
-def read_header(spark: SparkSession, path: str, *, pattern: str = "*.csv") -> list[str]:
+def read_header(spark: SparkSession, path: str, *, pattern: str = FILES) -> list[str]:
     """Column names from the first line of one file; nothing else is read."""
     reader = spark.read.options(header=True, pathGlobFilter=pattern, ignoreLeadingWhiteSpace=True)
     return reader.csv(path).columns
@@ -29,7 +32,7 @@ def load_flights(
     spark: SparkSession,
     path: str | list[str],
     *,
-    pattern: str = "*.csv",
+    pattern: str = FILES,
     header: list[str] | None = None,
     keep_bad: bool = False,
 ) -> DataFrame:
@@ -63,7 +66,7 @@ def parse_lines(lines: DataFrame, header: list[str], *, column: str = "value") -
     return data.select(F.inline(F.array(record))).select(*FLIGHT_COLUMNS)
 
 
-def load_flight_lines(spark: SparkSession, path: str, *, pattern: str = "*.csv") -> DataFrame:
+def load_flight_lines(spark: SparkSession, path: str, *, pattern: str = FILES) -> DataFrame:
     """Flights of all matching files by way of raw text, for files with header lines in the middle."""
     header = read_header(spark, path, pattern=pattern)
     return parse_lines(spark.read.option("pathGlobFilter", pattern).text(path), header)

@@ -1,5 +1,6 @@
 """Reading CSV folders: blanks, quotes, unreadable values, unknown columns, differing headers."""
 
+import gzip
 from datetime import date
 
 import pytest
@@ -59,6 +60,17 @@ def test_subfolders_and_other_files_are_ignored(spark, tmp_path):
     assert load_flights(spark, str(tmp_path)).count() == 11
 
 
+def test_compressed_files(spark, tmp_path, fixture_flights):
+    write_fixture(tmp_path)
+    (tmp_path / "2018.csv").unlink()
+    (tmp_path / "2018.csv.gz").write_bytes(gzip.compress(f"{HEADER}\n{ROWS_2018}".encode()))
+    assert as_set(load_flights(spark, str(tmp_path))) == as_set(fixture_flights)
+
+
+def test_pattern(spark, fixture_folder):
+    assert load_flights(spark, fixture_folder, pattern="2018*").count() == 3
+
+
 def test_several_paths(spark, fixture_folder):
     files = [f"{fixture_folder}/2017.csv", f"{fixture_folder}/2018.csv"]
     assert as_set(load_flights(spark, files)) == as_set(load_flights(spark, fixture_folder))
