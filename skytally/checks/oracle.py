@@ -6,7 +6,27 @@ taken in other ways.
 
 from __future__ import annotations
 
-FLIGHTS = """
+# Cause column, its name in results, and the line numbers whose delay it takes.
+CAUSES = [
+    ("CARRIER_DELAY", "Carrier", "1, 6"),
+    ("WEATHER_DELAY", "Weather", "2"),
+    ("NAS_DELAY", "NAS", "3"),
+    ("SECURITY_DELAY", "Security", "4"),
+    ("LATE_AIRCRAFT_DELAY", "Late Aircraft", "5, 7"),
+]
+
+
+def per_cause(template: str, separator: str = ", ") -> str:
+    """The template once for each cause."""
+    parts = [template.format(column=c, name=n, lines=k, short=c.lower().removesuffix("_delay")) for c, n, k in CAUSES]
+    return separator.join(parts)
+
+
+_CAUSE_COLUMNS = per_cause(
+    "CASE WHEN has_cause THEN CASE WHEN l_linenumber IN ({lines}) THEN lag ELSE 0 END::DOUBLE END AS {column}"
+)
+
+FLIGHTS = f"""
 lags AS (
     SELECT l.*, p_brand, sn.n_name AS origin_name, r_name,
            date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS lag,
@@ -28,12 +48,7 @@ flights AS (
            CASE WHEN NOT returned THEN CAST(lag - l_linenumber AS DOUBLE) END AS DEP_DELAY,
            CASE WHEN returned THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS CANCELLED,
            CASE WHEN returned AND l_linenumber <= 4 THEN substr('ABCD', l_linenumber, 1) END AS CANCELLATION_CODE,
-           CASE WHEN has_cause THEN CASE WHEN l_linenumber IN (1, 6) THEN lag ELSE 0 END::DOUBLE END AS CARRIER_DELAY,
-           CASE WHEN has_cause THEN CASE WHEN l_linenumber = 2 THEN lag ELSE 0 END::DOUBLE END AS WEATHER_DELAY,
-           CASE WHEN has_cause THEN CASE WHEN l_linenumber = 3 THEN lag ELSE 0 END::DOUBLE END AS NAS_DELAY,
-           CASE WHEN has_cause THEN CASE WHEN l_linenumber = 4 THEN lag ELSE 0 END::DOUBLE END AS SECURITY_DELAY,
-           CASE WHEN has_cause THEN CASE WHEN l_linenumber IN (5, 7) THEN lag ELSE 0 END::DOUBLE END
-               AS LATE_AIRCRAFT_DELAY,
+           {_CAUSE_COLUMNS},
            CAST(year(l_shipdate) AS INTEGER) AS fl_year,
            CAST(month(l_shipdate) AS INTEGER) AS fl_month
     FROM attributed
@@ -60,10 +75,7 @@ CARRIER_DELAY = f"""SELECT OP_CARRIER, count(*) AS delayed_flights, {MEAN} AS av
 
 DELAY = f"{CARRIER_DELAY} WHERE ARR_DELAY > 0 GROUP BY OP_CARRIER ORDER BY avg_delay_min DESC, OP_CARRIER"
 
-TOTALS = f"""SELECT {rounded("sum(CARRIER_DELAY)", 0)} AS carrier_delay_min,
-    {rounded("sum(WEATHER_DELAY)", 0)} AS weather_delay_min, {rounded("sum(NAS_DELAY)", 0)} AS nas_delay_min,
-    {rounded("sum(SECURITY_DELAY)", 0)} AS security_delay_min,
-    {rounded("sum(LATE_AIRCRAFT_DELAY)", 0)} AS late_aircraft_delay_min FROM flights"""
+TOTALS = f"SELECT {per_cause(rounded('sum({column})', 0) + ' AS {short}_delay_min')} FROM flights"
 
 ORIGINS = f"""SELECT ORIGIN, count(*) AS delayed_departures, {DEP_MEAN} AS avg_dep_delay_min FROM flights
     WHERE DEP_DELAY > 0 GROUP BY ORIGIN HAVING count(*) > 1000 ORDER BY avg_dep_delay_min DESC, ORIGIN LIMIT 10"""
@@ -92,13 +104,8 @@ YEAR_CARRIERS = f"""carriers AS (
     ) SELECT *, CAST(row_number() OVER (PARTITION BY year ORDER BY avg_delay_min DESC, OP_CARRIER) AS INTEGER) AS rank
     FROM carriers"""
 
-CAUSE_ROWS = """causes AS (
-        SELECT fl_year, 'Carrier' AS cause, CARRIER_DELAY AS minutes FROM flights
-        UNION ALL SELECT fl_year, 'Weather', WEATHER_DELAY FROM flights
-        UNION ALL SELECT fl_year, 'NAS', NAS_DELAY FROM flights
-        UNION ALL SELECT fl_year, 'Security', SECURITY_DELAY FROM flights
-        UNION ALL SELECT fl_year, 'Late Aircraft', LATE_AIRCRAFT_DELAY FROM flights
-    )"""
+_CAUSE_UNION = per_cause("SELECT fl_year, '{name}' AS cause, {column} AS minutes FROM flights", " UNION ALL ")
+CAUSE_ROWS = f"causes AS ({_CAUSE_UNION})"
 
 
 def change_from_previous_year(minutes: str) -> str:
@@ -140,14 +147,13 @@ HEADLINE = f"""volumes AS ({VOLUME}), delays AS ({DELAY}), origins AS ({ORIGINS}
             "(SELECT cancelled_flights FROM top_reason) / (SELECT sum(cancelled_flights) FROM reasons) * 100", 1
         )} AS top_reason_pct"""
 
-ROLLUP = """SELECT fl_year AS year, fl_month AS month, OP_CARRIER, ORIGIN, DEST, CANCELLATION_CODE,
+ROLLUP = f"""SELECT fl_year AS year, fl_month AS month, OP_CARRIER, ORIGIN, DEST, CANCELLATION_CODE,
     count(*) AS n_flights, count(*) FILTER (CANCELLED = 1) AS n_cancelled,
     count(*) FILTER (ARR_DELAY > 0) AS ARR_DELAY_n, sum(ARR_DELAY) FILTER (ARR_DELAY > 0) AS ARR_DELAY_sum,
     max(ARR_DELAY) FILTER (ARR_DELAY > 0) AS ARR_DELAY_max,
     count(*) FILTER (DEP_DELAY > 0) AS DEP_DELAY_n, sum(DEP_DELAY) FILTER (DEP_DELAY > 0) AS DEP_DELAY_sum,
     max(DEP_DELAY) FILTER (DEP_DELAY > 0) AS DEP_DELAY_max,
-    sum(CARRIER_DELAY) AS CARRIER_DELAY, sum(WEATHER_DELAY) AS WEATHER_DELAY, sum(NAS_DELAY) AS NAS_DELAY,
-    sum(SECURITY_DELAY) AS SECURITY_DELAY, sum(LATE_AIRCRAFT_DELAY) AS LATE_AIRCRAFT_DELAY
+    {per_cause('sum({column}) AS {column}')}
     FROM flights GROUP BY fl_year, fl_month, OP_CARRIER, ORIGIN, DEST, CANCELLATION_CODE"""
 
 
@@ -174,10 +180,8 @@ _BODIES = {
         FROM flights WHERE ARR_DELAY > 0 GROUP BY fl_month""",
     "top_routes_per_carrier": ROUTES,
     "year_summary": YEARS,
-    "year_cause_minutes": f"""SELECT fl_year AS year, {rounded("sum(CARRIER_DELAY) / 1e6", 2)} AS carrier_min,
-        {rounded("sum(WEATHER_DELAY) / 1e6", 2)} AS weather_min, {rounded("sum(NAS_DELAY) / 1e6", 2)} AS nas_min,
-        {rounded("sum(SECURITY_DELAY) / 1e6", 2)} AS security_min,
-        {rounded("sum(LATE_AIRCRAFT_DELAY) / 1e6", 2)} AS late_aircraft_min FROM flights GROUP BY fl_year""",
+    "year_cause_minutes": f"""SELECT fl_year AS year,
+        {per_cause(rounded("sum({column}) / 1e6", 2) + " AS {short}_min")} FROM flights GROUP BY fl_year""",
     "top_carriers_per_year": f"{YEAR_CARRIERS} QUALIFY rank <= 5",
     "top_carriers_picked_years": f"{YEAR_CARRIERS} WHERE year IN (1997, 1998) QUALIFY rank <= 5",
     "cause_share": f"""{CAUSE_ROWS} SELECT cause, sum(minutes) AS total_min,

@@ -34,8 +34,8 @@ class FlightMeasures:
     def is_cancelled(self) -> Column:
         return F.col("CANCELLED") == 1
 
-    def cancelled(self) -> Column:
-        return F.count(F.when(self.is_cancelled(), 1))
+    def cancelled(self, *, cancelled_only_input: bool = False) -> Column:
+        return F.count("*") if cancelled_only_input else F.count(F.when(self.is_cancelled(), 1))
 
     def is_delayed(self, delay: str) -> Column:
         return F.col(delay) > 0
@@ -61,7 +61,7 @@ class RollupMeasures(FlightMeasures):
     def is_cancelled(self) -> Column:
         return F.col("n_cancelled") > 0
 
-    def cancelled(self) -> Column:
+    def cancelled(self, *, cancelled_only_input: bool = False) -> Column:
         return F.sum("n_cancelled")
 
     def is_delayed(self, delay: str) -> Column:

@@ -109,7 +109,8 @@ def _reason_groups(flights: DataFrame, drop_blank: bool) -> DataFrame:
     code = F.col("CANCELLATION_CODE")
     if drop_blank:
         where, code = where & ~is_blank(code), F.trim(code)
-    return grouped_report(flights, {"CANCELLATION_CODE": code}, {"cancelled_flights": m.cancelled()}, where=where)
+    measures = {"cancelled_flights": m.cancelled(cancelled_only_input=True)}
+    return grouped_report(flights, {"CANCELLATION_CODE": code}, measures, where=where)
 
 
 def reason_counts(flights: DataFrame, *, drop_blank: bool = False, decode: bool = False) -> DataFrame:

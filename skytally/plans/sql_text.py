@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from skytally.functions.columns import CAUSES
+
+_CAUSE_SUMS = ", ".join(f"round(sum({c}), 0) AS {c.lower()}_min" for c in CAUSES)
+
 SQL_REPORTS = {
     "volume_by_carrier": """
         FROM {flights}
@@ -25,14 +29,7 @@ SQL_REPORTS = {
         |> ORDER BY avg_delay_min DESC, OP_CARRIER NULLS LAST
         |> LIMIT {limit}
     """,
-    "cause_totals": """
-        FROM {flights}
-        |> AGGREGATE round(sum(CARRIER_DELAY), 0) AS carrier_delay_min,
-                     round(sum(WEATHER_DELAY), 0) AS weather_delay_min,
-                     round(sum(NAS_DELAY), 0) AS nas_delay_min,
-                     round(sum(SECURITY_DELAY), 0) AS security_delay_min,
-                     round(sum(LATE_AIRCRAFT_DELAY), 0) AS late_aircraft_delay_min
-    """,
+    "cause_totals": f"FROM {{flights}} |> AGGREGATE {_CAUSE_SUMS}",
     "worst_origins": """
         FROM {flights}
         |> WHERE DEP_DELAY > 0

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from fixture_data import HEADER, ROWS_2017, ROWS_2018, write_fixture
 
-from skytally import load_flight_lines, load_flights, read_landed
+from skytally import load_flight_lines, load_flights, read_landed, reports
 from skytally.sinks import land_flights
 from skytally.sources import FLIGHT_SCHEMA
 
@@ -46,6 +46,27 @@ def test_different_column_order_is_an_error(spark, tmp_path):
         load_flights(spark, str(tmp_path)).collect()
 
 
+def test_reports_on_columns_in_place_still_run(spark, tmp_path):
+    write_fixture(tmp_path)
+    swapped = HEADER.replace("OP_CARRIER,FLT,ORIGIN", "ORIGIN,FLT,OP_CARRIER")
+    (tmp_path / "2018.csv").write_text(f"{swapped}\n{ROWS_2018}")
+    flights = load_flights(spark, str(tmp_path))
+    assert [tuple(r) for r in reports.cause_totals(flights).collect()] == [(15.0, 45.0, 15.0, 0.0, 45.0)]
+    with pytest.raises(Exception, match="2018.csv"):
+        reports.volume_by_group(flights).collect()
+
+
+@pytest.mark.parametrize(
+    "header_end, row_end", [(",Unnamed: 27", ","), (",", ","), (",X2,X2", ",a,b"), (" , Y ", ",a"), (",a`b", ","), ("\r", "\r")]
+)
+def test_odd_headers(spark, tmp_path, fixture_flights, header_end, row_end):
+    for year, rows in ((2017, ROWS_2017), (2018, ROWS_2018)):
+        body = "".join(f"{line}{row_end}\n" for line in rows.splitlines())
+        (tmp_path / f"{year}.csv").write_text(f"{HEADER}{header_end}\n{body}")
+    assert as_set(load_flights(spark, str(tmp_path))) == as_set(fixture_flights)
+    assert as_set(load_flight_lines(spark, str(tmp_path))) == as_set(fixture_flights)
+
+
 def test_missing_column_is_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_text("FL_DATE,OP_CARRIER\n2017-01-01,AA\n")
     with pytest.raises(ValueError, match="ORIGIN"):
