@@ -2,9 +2,10 @@
 
     python bench_csv.py [copies]
 
-The bound flights of ``BENCH_SF_DIR`` are written ``copies`` times (22 by default, 13.2 million rows at sf0.1) as CSV with
-27 columns, one folder of files, to a new temporary folder. Then three ways to get seven reports and three published
-tables are timed: every report from the CSV files; from a landed Parquet table; from one rollup of the CSV files.
+The bound flights of ``BENCH_SF_DIR`` are written ``copies`` times (22 by default, 13.2 million rows at sf0.1) as CSV
+with 27 columns, one folder of files, to a new temporary folder. Then three ways to get seven reports and three
+published tables are timed: every report from the CSV files; from a landed Parquet table; from one rollup of the CSV
+files.
 """
 
 from __future__ import annotations

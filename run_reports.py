@@ -2,9 +2,9 @@
 
     spark-submit --py-files skytally.zip run_reports.py INPUT [--output DIR] [--land DIR] [--api frame|sql|lines]
 
-``INPUT`` holds headed CSV files. ``--land`` first writes them as Parquet partitioned by year and reads that. The flights
-are then rolled up once, into ``OUTPUT/flight_rollup``, and every report reads the rollup; without ``--output`` each report
-reads the flights. ``--api sql`` runs the SQL texts instead, ``--api lines`` reads the files as raw text.
+``INPUT`` holds headed CSV files. ``--land`` first writes them as Parquet partitioned by year and reads that. The
+flights are then rolled up once, into ``OUTPUT/flight_rollup``, and every report reads the rollup; without ``--output``
+each report reads the flights. ``--api sql`` prints the SQL texts' results, ``--api lines`` reads the files as text.
 """
 
 from __future__ import annotations

@@ -322,7 +322,8 @@ def headline_extremes(flights: DataFrame, *, min_support: int = 1000) -> DataFra
     causes = F.array(
         *[
             F.when(
-                F.col(c).isNotNull(), F.struct((-F.col(c)).alias("order"), F.lit(n).alias("key"), F.col(c).alias("value"))
+                F.col(c).isNotNull(),
+                F.struct((-F.col(c)).alias("order"), F.lit(n).alias("key"), F.col(c).alias("value")),
             )
             for c, n in CAUSES.items()
         ]

@@ -4,8 +4,9 @@ One row per ``lineitem`` row. The other tables hang on it by left joins on their
 and a join whose columns nobody asked for is left out without changing the result. Which columns a report needs is
 declared in ``plans.registry``: counting by carrier joins one table instead of seven.
 
-No side is broadcast by hint. Spark broadcasts a side when its size is below ``spark.sql.autoBroadcastJoinThreshold`` and
-shuffles both sides otherwise; adaptive execution splits the partition of a key that holds too many rows.
+No side is broadcast by hint. Spark broadcasts a side when its size is below
+``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise; adaptive execution splits the partition of a
+key that holds too many rows.
 """
 
 from __future__ import annotations
@@ -29,9 +30,9 @@ TABLES = {
     "region": "r_regionkey int, r_name string",
 }
 
-# What needs no other table, narrowed before the joins move it. ``flown`` is the date of a flight that took place and null
-# otherwise; delays are differences to it, so a filter on a delay drops the other rows before the join. The condition is
-# null-safe, hence never null, which lets a filter on CANCELLED turn back into it and reach the scan.
+# What needs no other table, narrowed before the joins move it. ``flown`` is the date of a flight that took place and
+# null otherwise; delays are differences to it, so a filter on a delay drops the other rows before the join. The
+# condition is null-safe, hence never null, which lets a filter on CANCELLED turn back into it and reach the scan.
 FACTS = (
     "l_orderkey",
     "l_partkey",

@@ -1,8 +1,8 @@
 """Flights from a folder of headed CSV files, for example one file per year.
 
-Bad input never stops a run and never changes a type: a value that does not parse becomes null, and the rest of its line
-stays. Blanks around values are dropped, quoted commas are kept. Folders inside the input folder are not read, so results
-may be written there.
+Bad input never stops a run and never changes a type: a value that does not parse becomes null, and the rest of its
+line stays. Blanks around values are dropped, quoted commas are kept. Folders inside the input folder are not read, so
+results may be written there.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def load_flights(
     need the columns in the same order; a file that differs is an error, not silently swapped values.
 
     ``header`` gives the column names of the files; without it they are taken from one file, for which the folder is
-    listed once more. ``keep_bad`` adds the column ``_bad`` with the whole line where a value did not parse. It is filled in when that
-    value is read, so land such a frame (``sinks.land_flights``) before counting bad lines.
+    listed once more. ``keep_bad`` adds the column ``_bad`` with the whole line where a value did not parse. It is
+    filled in when that value is read, so land such a frame (``sinks.land_flights``) before counting bad lines.
     """
     if header is None:
         header = read_header(spark, path if isinstance(path, str) else path[0], pattern=pattern)
@@ -59,8 +59,9 @@ def load_flights(
 
 def parse_lines(lines: DataFrame, header: list[str], *, column: str = "value") -> DataFrame:
     """Flights from raw lines already held as text. Header lines are dropped wherever they stand, as they do in the
-    middle of concatenated files."""
-    data = lines.filter(~F.col(column).startswith(header[0].strip()))
+    middle of concatenated files, and so are empty lines."""
+    line, first = F.col(column), header[0].strip()
+    data = lines.filter(~line.startswith(first) & ~line.startswith(f'"{first}"') & (F.trim(line) != ""))
     record = F.from_csv(F.col(column), schema_for_header(header).toDDL(), _PARSE_OPTIONS)
     # Unfolding a one-element array keeps the parser from being copied into every later filter and projection.
     return data.select(F.inline(F.array(record))).select(*FLIGHT_COLUMNS)

@@ -1,5 +1,5 @@
-"""A small hand-written flight table: two yearly files with two columns the reports do not know, blanks around a carrier,
-a quoted comma and a value that does not parse."""
+"""A small hand-written flight table: two yearly files with two columns the reports do not know, blanks around a
+carrier, a quoted comma and a value that does not parse."""
 
 HEADER = (
     "FL_DATE,OP_CARRIER,FLT,ORIGIN,DEST,DEP_DELAY,ARR_DELAY,CANCELLED,CANCELLATION_CODE,X2,"

@@ -57,7 +57,8 @@ def test_reports_on_columns_in_place_still_run(spark, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "header_end, row_end", [(",Unnamed: 27", ","), (",", ","), (",X2,X2", ",a,b"), (" , Y ", ",a"), (",a`b", ","), ("\r", "\r")]
+    "header_end, row_end",
+    [(",Unnamed: 27", ","), (",", ","), (",X2,X2", ",a,b"), (" , Y ", ",a"), (",a`b", ","), ("\r", "\r")],
 )
 def test_odd_headers(spark, tmp_path, fixture_flights, header_end, row_end):
     for year, rows in ((2017, ROWS_2017), (2018, ROWS_2018)):
@@ -122,3 +123,12 @@ def test_lines_give_the_same_flights(spark, fixture_folder, fixture_flights):
 def test_lines_drop_headers_in_the_middle(spark, tmp_path, fixture_flights):
     (tmp_path / "all.csv").write_text(f"{HEADER}\n{ROWS_2017}{HEADER}\n{ROWS_2018}")
     assert as_set(load_flight_lines(spark, str(tmp_path))) == as_set(fixture_flights)
+
+
+def test_quoted_header_and_empty_lines(spark, tmp_path, fixture_flights):
+    quoted = ",".join(f'"{name}"' for name in HEADER.split(","))
+    (tmp_path / "2017.csv").write_text(f"{quoted}\n\n{ROWS_2017}\n\n")
+    (tmp_path / "2018.csv").write_text(f"{quoted}\n{ROWS_2018}")
+    for load in (load_flights, load_flight_lines):
+        flights = load(spark, str(tmp_path))
+        assert flights.count() == 11 and as_set(flights) == as_set(fixture_flights)

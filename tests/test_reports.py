@@ -123,7 +123,8 @@ def test_rollup_refuses_what_it_does_not_keep(make_flights):
 
 def test_operators_on_other_tables(spark):
     sales = spark.createDataFrame(
-        [("x", 2001, 10.0), ("x", 2002, 15.0), ("y", 2001, 30.0), ("y", 2002, 45.0)], "shop string, year int, amount double"
+        [("x", 2001, 10.0), ("x", 2002, 15.0), ("y", 2001, 30.0), ("y", 2002, 45.0)],
+        "shop string, year int, amount double",
     )
     top = top_k_per_group(sales, ["year"], [F.desc("amount")], 1).orderBy("year")
     assert rows(top) == [("y", 2001, 30.0, 1), ("y", 2002, 45.0, 1)]
