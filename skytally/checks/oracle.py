@@ -198,6 +198,7 @@ _BODIES = {
     "chart_year_overview": f"""SELECT year, total_flights / 1e6 AS total_flights_m,
         delayed_flights / 1e6 AS delayed_flights_m, cancellations / 1e3 AS cancellations_k, avg_delay_min
         FROM ({YEARS})""",
+    "chart_month_range": f"SELECT min(avg_delay_min) AS lowest, max(avg_delay_min) AS highest FROM ({MONTHS})",
     "flight_rollup": ROLLUP,
     "sql_volume_by_carrier": VOLUME,
     "sql_delay_by_carrier": f"{DELAY} LIMIT 10",

@@ -25,6 +25,11 @@ def year_overview(flights: DataFrame) -> DataFrame:
     )
 
 
+def value_range(df: DataFrame, column: str) -> DataFrame:
+    """Lowest and highest value of a result column, for the ends of an axis."""
+    return df.agg(F.min(column).alias("lowest"), F.max(column).alias("highest"))
+
+
 def chart_frames(flights: DataFrame, years: tuple[int, ...] | None = None) -> dict[str, DataFrame]:
     """One frame per chart. A rollup as input keeps ten charts from scanning the flights ten times."""
     return {

@@ -91,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "headline_extremes": FlightQuery(reports.headline_extremes, HEADLINE),
     "chart_volume": FlightQuery(charts.volume_in_millions, ("OP_CARRIER",)),
     "chart_year_overview": FlightQuery(charts.year_overview, YEAR_FIGURES),
+    "chart_month_range": FlightQuery(
+        lambda f: charts.value_range(reports.monthly_trend(f), "avg_delay_min"), MONTH_DELAYS
+    ),
     "flight_rollup": FlightQuery(rollup_flights, FLIGHT_COLUMNS),
     "sql_volume_by_carrier": FlightQuery(lambda f: sql_report(f, "volume_by_carrier"), ("OP_CARRIER",)),
     "sql_delay_by_carrier": FlightQuery(lambda f: sql_report(f, "delay_by_carrier"), CARRIER_DELAYS),
