@@ -17,7 +17,7 @@ def top_k_per_group(
 
     The filter sits directly on the rank, so Spark cuts every group to ``k`` rows in each task before the shuffle: a
     group that holds a third of the rows sends ``k`` rows per task, not its whole content. Spark does so up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default).
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); raise that setting for a larger ``k``.
     """
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return ranked.filter(F.col(rank) <= k)
