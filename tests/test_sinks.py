@@ -2,7 +2,7 @@
 
 import pytest
 
-from skytally import load_flights, publish_reports, read_landed, reports
+from skytally import bind_flights, load_flights, publish_reports, read_landed, reports
 from skytally.sinks import land_flights
 
 
@@ -15,6 +15,21 @@ def test_land_and_read_back(spark, fixture_flights, tmp_path):
         assert reports.year_summary(landed).collect() == reports.year_summary(fixture_flights).collect()
 
 
+def test_landed_tables_give_the_same_reports(spark, tmp_path):
+    flights = bind_flights(spark, "/root/testdata/sf0.001")
+    land_flights(flights, str(tmp_path / "t"))
+    landed = read_landed(spark, str(tmp_path / "t"))
+    for report in (
+        reports.delay_by_group,
+        reports.reason_share,
+        reports.year_summary,
+        reports.top_carriers_per_year,
+        reports.cause_change,
+        reports.headline_extremes,
+    ):
+        assert report(landed).collect() == report(flights).collect()
+
+
 def test_flights_without_a_date_are_landed_too(spark, make_flights, tmp_path):
     land_flights(make_flights({"FL_DATE": None}, {}), str(tmp_path / "t"))
     assert {r.year for r in read_landed(spark, str(tmp_path / "t")).collect()} == {None, 2017}
