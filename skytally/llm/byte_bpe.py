@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from skytally.llm.pretokens import ChunkEncoder
+from skytally.llm.shared import in_slices
 
 NONE = np.int32(2**31 - 1)
 
@@ -223,7 +224,7 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, bpe = text_encoder(path, pattern)
-        for batch in slices(batches, rows):
+        for batch in in_slices(batches, rows):
             ids = encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([bpe.decode(i) for i in ids], pa.binary())],
@@ -243,7 +244,7 @@ def digest_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, bpe = text_encoder(path, pattern)
         decimal = np.array([b"%d" % i for i in range(len(bpe.lengths))], object)
-        for batch in slices(batches, rows):
+        for batch in in_slices(batches, rows):
             ids = encode(batch.column(1).to_pylist())
             shown = [hashlib.sha256(b" ".join(decimal[i].tolist())).hexdigest() for i in ids]
             decoded = [hashlib.sha256(bpe.decode(i)).hexdigest() for i in ids]
@@ -256,10 +257,3 @@ def digest_documents(
     return df.select(id_col, text_col).mapInArrow(
         run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
-
-
-def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)

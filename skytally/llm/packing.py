@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from skytally.llm import hf_tokens
-from skytally.llm.byte_bpe import slices
+from skytally.llm.shared import in_slices
 
 TIERS = (256, 512, 1024, 2048)
 
@@ -193,7 +193,7 @@ def pack_documents(
                 values.clear()
             return batch
 
-        for batch in slices(batches, rows):
+        for batch in in_slices(batches, rows):
             kinds[id_col] = batch.schema.field(0).type
             encoded = encode(batch.column(1).to_pylist())
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):

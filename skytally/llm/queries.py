@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from skytally.llm import block_naming, byte_bpe, packing, token_counts
+from skytally.llm import block_naming, byte_bpe, fingerprint, packing, quality_knn, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,11 +26,21 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return fingerprint.fingerprint_edited(documents).withColumnRenamed("id", "doc_id")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.count_section_tokens(documents, TOKENIZER)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality_knn.score_quality(documents, _table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = block_naming.find_exact_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.withColumnRenamed("id", "doc_id")
@@ -40,7 +49,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_packing": op3_packing,
+    "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
+    "op8_quality": op8_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,3 +30,36 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def held_out(id_col: Column, folds: int, fold: int) -> Column:
+    """Whether the CRC-32 of the id as text falls into the fold; a null id is in none."""
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == fold, F.lit(False))
+
+
+def training_sample(
+    documents: DataFrame, labels: DataFrame, label: str, *, folds: int, fold: int, per_class: int
+) -> tuple[DataFrame, dict[int, int]]:
+    """Texts with labels to learn from, and the number of labelled rows per class.
+
+    At most ``per_class`` rows of either class, those whose ids have the smallest hashes, from the rows outside the
+    held-out fold. A document with several labels has the one that most of them give, 1 at a draw. Columns ``text`` and
+    ``y``.
+    """
+    usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
+    given = usable.groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
+    counts = {row.y: row["count"] for row in given.groupBy("y").count().collect()}
+    chosen = None
+    for y in (0, 1):
+        part = given.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    # At most 2 * per_class ids: small enough to broadcast whatever the size of the tables.
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), counts

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from skytally.llm import hf_tokens
-from skytally.llm.byte_bpe import slices
+from skytally.llm.shared import in_slices
 
 RULES = ("start", "end", "longest", "split")
 
@@ -100,7 +100,7 @@ def count_section_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, byte_lengths = hf_tokens.text_encoder(tokenizer_path)
         cut = re.compile(separator)
-        for batch in slices(batches, rows):
+        for batch in in_slices(batches, rows):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             parts, sizes = [], []
             for text, ids in zip(texts, encode(texts), strict=True):
