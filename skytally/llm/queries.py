@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skytally.llm import block_naming, byte_bpe, fingerprint, packing, quality_knn, token_counts
+from skytally.llm import block_naming, byte_bpe, fingerprint, order_minhash, packing, quality_knn, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +41,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.score_quality(documents, _table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.find_near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        found.id.alias("doc_id"), "class_id", "class_size", "class_texts", (found.id == found.class_id).alias("kept")
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = block_naming.find_exact_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.withColumnRenamed("id", "doc_id")
@@ -52,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op8_quality": op8_quality,
+    "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
