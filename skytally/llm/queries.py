@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skytally.llm import block_naming, byte_bpe, fingerprint, order_minhash, packing, quality_knn, token_counts
+from skytally.llm import (
+    block_naming,
+    byte_bpe,
+    fingerprint,
+    order_minhash,
+    packing,
+    quality_knn,
+    token_counts,
+    toxicity,
+)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +45,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_section_tokens(documents, TOKENIZER)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score_toxicity(documents, _table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return quality_knn.score_quality(documents, _table(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -58,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
+    "op6_toxicity": op6_toxicity,
     "op8_quality": op8_quality,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
