@@ -13,6 +13,7 @@ from skytally.llm import (
     fingerprint,
     order_minhash,
     packing,
+    pii,
     quality_knn,
     token_counts,
     toxicity,
@@ -50,6 +51,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(documents, _table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_spans(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return quality_knn.score_quality(documents, _table(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op7_pii": op7_pii,
     "op8_quality": op8_quality,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
