@@ -17,6 +17,7 @@ from skytally.llm import (
     quality_knn,
     token_counts,
     toxicity,
+    warc_zip,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,6 +28,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zip.archive_and_read(_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return byte_bpe.digest_documents(documents, RANKS, public_tokenizers.PATTERN)
@@ -73,6 +78,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
@@ -85,6 +91,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_warc": """
+        with payloads as (
+            select page_id, sha256(coalesce(html, '')) as payload_digest, strlen(coalesce(html, ''))::bigint as payload_bytes
+            from pages
+        ),
+        marked as (
+            select *, min(page_id) over (partition by payload_digest) as first,
+                payload_bytes >= 100 and page_id <> min(page_id) over (partition by payload_digest) as again
+            from payloads
+        )
+        select page_id, payload_bytes, payload_digest, if(again, 'revisit', 'response') as record_type,
+            if(again, first, null) as refers_to
+        from marked
+    """,
     "op10_exact_dedup": """
         with texts as (select doc_id, coalesce(text, '') as text from documents),
         groups as (select text, max(doc_id) as keep_id, count(*) as group_size from texts group by text)
