@@ -307,3 +307,24 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
         at = max(at, end)
     out.append(text[at:])
     return "".join(out)
+
+
+def redact_documents(
+    df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", certainty: float = 0.8, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``carry`` columns and the text with all spans, of the patterns and of the field, replaced by their kinds. A null
+    text stays null."""
+    model = df.sparkSession.sparkContext.broadcast(train(df.select(F.col(text_col).alias("text"))))
+    kept = [c for c in dict.fromkeys([id_col, *carry]) if c != text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, 512):
+            out = []
+            for text in batch.column("__text").to_pylist():
+                spans = model.value.add_spans(text, pattern_spans(text), certainty) if text else []
+                out.append(redact(text, [(start, end, kind) for kind, start, end in spans]) if spans else text)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(out, pa.string())], [*kept, text_col])
+
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
+    source = df.select(*kept, F.col(text_col).alias("__text"))
+    return source.mapInArrow(run, f"{kinds}, `{text_col}` string")
