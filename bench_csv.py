@@ -1,9 +1,9 @@
 """Time the reports on a folder of wide CSV files, the form in which flights arrive.
 
-    python bench_csv.py [copies]
+    python bench_csv.py FOLDER [copies]
 
 The bound flights of ``BENCH_SF_DIR`` are written ``copies`` times (22 by default, 13.2 million rows at sf0.1) as CSV
-with 27 columns, one folder of files, to a new temporary folder. Then three ways to get seven reports and three
+with 27 columns, one folder of files, to a new folder in ``FOLDER``, which all executors have to reach. Then three ways to get seven reports and three
 published tables are timed: every report from the CSV files; from a landed Parquet table; from one rollup of the CSV
 files.
 """
@@ -13,8 +13,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,13 +53,13 @@ def timed(work) -> float:
 
 
 def main() -> None:
-    copies = int(sys.argv[1]) if len(sys.argv) > 1 else 22
+    copies = int(sys.argv[2]) if len(sys.argv) > 2 else 22
     spark = build_session(os.environ.get("BENCH_CPUS", "8"))
-    root = tempfile.mkdtemp(prefix="flights-")
+    root = f"{sys.argv[1].rstrip('/')}/flights-{uuid.uuid4().hex}"
     flights = bind_flights(spark, os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"))
     # Spread the single input file over all cores before multiplying it.
     write_csv(flights.repartition(16), copies, f"{root}/csv")
-    size = sum(e.stat().st_size for e in os.scandir(f"{root}/csv"))
+    size = spark.read.format("binaryFile").load(f"{root}/csv").agg({"length": "sum"}).first()[0]
 
     def from_csv() -> None:
         loaded = load_flights(spark, f"{root}/csv")

@@ -2,9 +2,10 @@
 
     spark-submit --py-files skytally.zip run_reports.py INPUT [--output DIR] [--land DIR] [--api frame|sql|lines]
 
-``INPUT`` holds headed CSV files. ``--land`` first writes them as Parquet partitioned by year and reads that. The
-flights are then rolled up once, into ``OUTPUT/flight_rollup``, and every report reads the rollup; without ``--output``
-each report reads the flights. ``--api sql`` prints the SQL texts' results, ``--api lines`` reads the files as text.
+``INPUT`` holds headed CSV files. They are read once: ``--land`` writes them as Parquet partitioned by year and reads that,
+``--output`` rolls them up into ``OUTPUT/flight_rollup`` and the reports read the rollup. At least one of the two is needed.
+``--api sql`` runs the SQL texts on a view of the landed flights, so it needs ``--land``; ``--api lines`` reads the files as
+text.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from skytally import (
     read_landed,
     register_view,
     reports,
-    sql_report,
+    sql_on_view,
 )
 from skytally.plans.sql_text import SQL_REPORTS
 
@@ -50,7 +51,10 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--land", help="folder for the flights as Parquet")
     parser.add_argument("--api", choices=["frame", "sql", "lines"], default="frame")
     parser.add_argument("--show", type=int, default=30, help="rows to print of each report")
-    return parser.parse_args(arguments)
+    args = parser.parse_args(arguments)
+    if not args.land and (args.api == "sql" or not args.output):
+        parser.error("give --land (or --output, but not with --api sql), so that the files are read only once")
+    return args
 
 
 def read_input(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -73,7 +77,7 @@ def main(arguments: list[str] | None = None) -> None:
     reports.flight_count(source).show()
     if args.api == "sql":
         register_view(flights)
-        tables = {name: sql_report(flights, name) for name in SQL_REPORTS}
+        tables = {name: sql_on_view(spark, name) for name in SQL_REPORTS}
     else:
         tables = {title: report(source) for title, report in FRAME_REPORTS.items()}
     for title, table in tables.items():

@@ -3,7 +3,7 @@
 from skytally.plans import reports
 from skytally.plans.charts import chart_frames
 from skytally.plans.rollup import rollup_flights
-from skytally.plans.sql_text import register_view, sql_report
+from skytally.plans.sql_text import register_view, sql_on_view, sql_report
 from skytally.sinks import land_flights, publish_reports
 from skytally.sources import bind_flights, load_flight_lines, load_flights, read_landed
 
@@ -18,5 +18,6 @@ __all__ = [
     "register_view",
     "reports",
     "rollup_flights",
+    "sql_on_view",
     "sql_report",
 ]

@@ -67,8 +67,8 @@ DEP_MEAN = rounded("avg(DEP_DELAY)", 2)
 LABEL = """CASE CANCELLATION_CODE WHEN 'A' THEN 'Carrier' WHEN 'B' THEN 'Weather'
     WHEN 'C' THEN 'National Air System' WHEN 'D' THEN 'Security' ELSE 'Unknown' END"""
 
-VOLUME = """SELECT OP_CARRIER, count(*) AS total_flights FROM flights
-    GROUP BY OP_CARRIER ORDER BY total_flights DESC, OP_CARRIER LIMIT 10"""
+ALL_VOLUMES = "SELECT OP_CARRIER, count(*) AS total_flights FROM flights GROUP BY OP_CARRIER"
+VOLUME = f"{ALL_VOLUMES} ORDER BY total_flights DESC, OP_CARRIER LIMIT 10"
 
 CARRIER_DELAY = f"""SELECT OP_CARRIER, count(*) AS delayed_flights, {MEAN} AS avg_delay_min,
     {rounded("max(ARR_DELAY)", 2)} AS max_delay_min FROM flights"""
@@ -77,12 +77,16 @@ DELAY = f"{CARRIER_DELAY} WHERE ARR_DELAY > 0 GROUP BY OP_CARRIER ORDER BY avg_d
 
 TOTALS = f"SELECT {per_cause(rounded('sum({column})', 0) + ' AS {short}_delay_min')} FROM flights"
 
-ORIGINS = f"""SELECT ORIGIN, count(*) AS delayed_departures, {DEP_MEAN} AS avg_dep_delay_min FROM flights
-    WHERE DEP_DELAY > 0 GROUP BY ORIGIN HAVING count(*) > 1000 ORDER BY avg_dep_delay_min DESC, ORIGIN LIMIT 10"""
+ALL_ORIGINS = f"""SELECT ORIGIN, count(*) AS delayed_departures, {DEP_MEAN} AS avg_dep_delay_min FROM flights
+    WHERE DEP_DELAY > 0 GROUP BY ORIGIN HAVING count(*) > 1000"""
+ORIGINS = f"{ALL_ORIGINS} ORDER BY avg_dep_delay_min DESC, ORIGIN LIMIT 10"
 
 REASONS = """SELECT CANCELLATION_CODE, count(*) AS cancelled_flights FROM flights WHERE CANCELLED = 1
     GROUP BY CANCELLATION_CODE"""
 
+DECODED = f"""SELECT CANCELLATION_CODE, count(*) AS cancelled_flights, {LABEL} AS reason
+    FROM flights WHERE CANCELLED = 1 AND CANCELLATION_CODE <> '' GROUP BY CANCELLATION_CODE"""
+
 MONTHS = f"SELECT fl_month AS month, {MEAN} AS avg_delay_min FROM flights WHERE ARR_DELAY > 0 GROUP BY fl_month"
 
 ROUTES = f"""routes AS (
@@ -98,6 +102,10 @@ YEAR_COLUMNS = f"""fl_year AS year, count(*) AS total_flights,
 
 YEARS = f"SELECT {YEAR_COLUMNS} FROM flights GROUP BY fl_year"
 
+EXACT_YEARS = """SELECT fl_year AS year, count(*) AS total_flights, count(*) FILTER (ARR_DELAY > 0) AS delayed_flights,
+    count(*) FILTER (CANCELLED = 1) AS cancellations, avg(ARR_DELAY) FILTER (ARR_DELAY > 0) AS avg_delay_min,
+    count(*) FILTER (CANCELLED = 1) / count(*) * 100 AS cancel_rate_pct FROM flights GROUP BY fl_year"""
+
 YEAR_CARRIERS = f"""carriers AS (
         SELECT fl_year AS year, OP_CARRIER, {MEAN} AS avg_delay_min, count(*) AS delayed_flights
         FROM flights WHERE ARR_DELAY > 0 GROUP BY ALL
@@ -122,17 +130,22 @@ def _year_changes() -> str:
     columns = ", ".join(
         f"{rounded(f'(a.{m} - b.{m}) / nullif(b.{m}, 0) * 100', 1)} AS {m}_change_pct" for m in metrics
     )
-    return f"""years AS ({YEARS}) SELECT a.year, {columns} FROM years a
+    return f"""years AS ({EXACT_YEARS}) SELECT a.year, {columns} FROM years a
     LEFT JOIN years b ON b.year = (SELECT max(c.year) FROM years c WHERE c.year < a.year)"""
 
 
-HEADLINE = f"""volumes AS ({VOLUME}), delays AS ({DELAY}), origins AS ({ORIGINS}), months AS ({MONTHS}),
+def _having(sql: str, key: str) -> str:
+    return f"SELECT * FROM ({sql}) WHERE {key} IS NOT NULL"
+
+
+HEADLINE = f"""volumes AS ({_having(ALL_VOLUMES, "OP_CARRIER")}), delays AS ({_having(DELAY, "OP_CARRIER")}),
+    origins AS ({_having(ALL_ORIGINS, "ORIGIN")}), months AS ({_having(MONTHS, "month")}),
     reasons AS ({REASONS}), {CAUSE_ROWS},
     cause_sums AS (SELECT cause, sum(minutes) AS minutes FROM causes GROUP BY cause),
     top_cause AS (SELECT * FROM cause_sums ORDER BY minutes DESC, cause LIMIT 1),
     top_reason AS (SELECT {LABEL} AS reason, cancelled_flights FROM reasons
         ORDER BY cancelled_flights DESC, CANCELLATION_CODE LIMIT 1)
-    SELECT (SELECT OP_CARRIER FROM volumes LIMIT 1) AS busiest_carrier,
+    SELECT (SELECT OP_CARRIER FROM volumes ORDER BY total_flights DESC, OP_CARRIER LIMIT 1) AS busiest_carrier,
         (SELECT max(total_flights) FROM volumes) AS busiest_carrier_flights,
         (SELECT OP_CARRIER FROM delays ORDER BY avg_delay_min DESC, OP_CARRIER LIMIT 1) AS worst_carrier,
         (SELECT max(avg_delay_min) FROM delays) AS worst_carrier_avg_delay_min,
@@ -168,12 +181,13 @@ _BODIES = {
     "volume_by_carrier": VOLUME,
     "delay_by_carrier": DELAY,
     "delay_by_carrier_all_flights": f"{CARRIER_DELAY} WHERE ARR_DELAY IS NOT NULL GROUP BY OP_CARRIER",
-    "delay_by_carrier_from_lines": f"{CARRIER_DELAY} WHERE ARR_DELAY > 0 AND day(FL_DATE) <> 13 GROUP BY OP_CARRIER",
+    "delay_by_carrier_from_lines": DELAY,
+    "volume_by_carrier_from_lines": VOLUME,
+    "cancel_reasons_from_lines": DECODED,
     "cause_totals": TOTALS,
     "worst_origins": ORIGINS,
     "cancel_reasons": REASONS,
-    "cancel_reasons_decoded": f"""SELECT CANCELLATION_CODE, count(*) AS cancelled_flights, {LABEL} AS reason
-        FROM flights WHERE CANCELLED = 1 AND CANCELLATION_CODE <> '' GROUP BY CANCELLATION_CODE""",
+    "cancel_reasons_decoded": DECODED,
     "monthly_trend": MONTHS,
     "monthly_trend_labelled": f"""SELECT fl_month AS month, {MEAN} AS avg_delay_min,
         strftime(make_date(2000, fl_month, 1), '%b') AS month_name
@@ -206,6 +220,45 @@ _BODIES = {
     "sql_worst_origins": ORIGINS,
     "sql_cancel_reasons": REASONS,
     "sql_monthly_trend": MONTHS,
+    "sql_view_monthly_trend": MONTHS,
+    "sql_view_worst_origins": ORIGINS,
+}
+
+# The order of results that have one; nulls go last.
+_ORDERS = {
+    "delay_by_carrier_all_flights": "avg_delay_min DESC, OP_CARRIER",
+    "cancel_reasons": "cancelled_flights DESC, CANCELLATION_CODE",
+    "cancel_reasons_decoded": "cancelled_flights DESC, CANCELLATION_CODE",
+    "cancel_reasons_from_lines": "cancelled_flights DESC, CANCELLATION_CODE",
+    "cancel_reason_share": "cancelled_flights DESC, CANCELLATION_CODE",
+    "sql_cancel_reasons": "cancelled_flights DESC, CANCELLATION_CODE",
+    "monthly_trend": "month",
+    "monthly_trend_labelled": "month",
+    "sql_monthly_trend": "month",
+    "sql_view_monthly_trend": "month",
+    "top_routes_per_carrier": "OP_CARRIER, rank",
+    "year_summary": "year",
+    "year_summary_change": "year",
+    "year_cause_minutes": "year",
+    "top_carriers_per_year": "year, rank",
+    "top_carriers_picked_years": "year, rank",
+    "cause_share": "total_min DESC, cause",
+    "cause_yoy_change": "cause, year",
+    "cause_yoy_change_millions": "cause, year",
+    "chart_volume": "total_flights DESC, OP_CARRIER",
+    "chart_year_overview": "year",
 }
 
-ORACLE = {name: _select(body) for name, body in _BODIES.items()}
+# Queries whose rows come in a set order: by the list above or by the text itself.
+ORDERED = {name for name, body in _BODIES.items() if body.startswith((VOLUME, DELAY, ORIGINS))} | set(_ORDERS)
+
+
+def _ordered(name: str, body: str) -> str:
+    if name not in _ORDERS:
+        return body
+    # Rows without a year or month come first, rows without another key last.
+    keys = ", ".join(f"{key} NULLS {'FIRST' if key in ('year', 'month') else 'LAST'}" for key in _ORDERS[name].split(", "))
+    return f"{body} ORDER BY {keys}"
+
+
+ORACLE = {name: _select(_ordered(name, body)) for name, body in _BODIES.items()}

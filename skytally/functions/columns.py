@@ -27,17 +27,26 @@ CAUSES = {
 UNKNOWN = "Unknown"
 
 
-def has_column(df: DataFrame, name: str) -> bool:
-    return name.lower() in {c.lower() for c in df.columns}
+# Columns that the library itself derived carry this mark in their metadata; a column of the user's that happens to be
+# called ``year`` does not. Marks survive Parquet.
+_MARK = "skytally"
+
+
+def marked(column: Column, name: str) -> Column:
+    return column.alias(name, metadata={_MARK: name})
+
+
+def has_marked(df: DataFrame, name: str) -> bool:
+    return any(f.name == name and f.metadata.get(_MARK) == name for f in df.schema.fields)
 
 
 def year_of(df: DataFrame) -> Column:
     """The year of the flight. Landed tables carry it as a partition column, so a year filter prunes directories."""
-    return F.col("year") if has_column(df, "year") else F.year("FL_DATE")
+    return F.col("year") if has_marked(df, "year") else F.year("FL_DATE")
 
 
 def month_of(df: DataFrame) -> Column:
-    return F.col("month") if has_column(df, "month") else F.month("FL_DATE")
+    return F.col("month") if has_marked(df, "month") else F.month("FL_DATE")
 
 
 def month_label(month: Column) -> Column:

@@ -1,7 +1,7 @@
 """Aggregates over flights, for single flights and for rolled-up flights alike.
 
 Every report measure is additive (counts, sums, maxima; a mean is a sum over a count). So a report reads either one row
-per flight or one row per rollup group, and gets the same numbers. ``measures_of`` tells the two apart by their columns.
+per flight or one row per rollup group, and gets the same numbers. ``measures_of`` tells the two apart by a mark that a rollup puts on its counts.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytally.functions.columns import CAUSES, has_column
+from skytally.functions.columns import CAUSES, has_marked, marked
 
 DELAYS = ("ARR_DELAY", "DEP_DELAY")
 
@@ -73,12 +73,12 @@ class RollupMeasures(FlightMeasures):
 
 
 def measures_of(df: DataFrame) -> FlightMeasures:
-    return RollupMeasures() if has_column(df, "n_flights") else FlightMeasures()
+    return RollupMeasures() if has_marked(df, "n_flights") else FlightMeasures()
 
 
 def rollup_columns() -> list[Column]:
     """The additive columns a rollup keeps. Cause minutes keep their name: a sum of sums is the same expression."""
-    columns = ["count(*) as n_flights", "count(*) filter (where CANCELLED = 1) as n_cancelled"]
+    columns = ["count(*) filter (where CANCELLED = 1) as n_cancelled"]
     for delay in DELAYS:
         delayed = f"filter (where {delay} > 0)"
         columns += [
@@ -86,4 +86,4 @@ def rollup_columns() -> list[Column]:
             f"sum({delay}) {delayed} as {delay}_sum",
             f"max({delay}) {delayed} as {delay}_max",
         ]
-    return [F.expr(c) for c in columns + [f"sum({c}) as {c}" for c in CAUSES]]
+    return [marked(F.count("*"), "n_flights")] + [F.expr(c) for c in columns + [f"sum({c}) as {c}" for c in CAUSES]]

@@ -38,19 +38,21 @@ def change_over_periods(
     period: str,
     changes: Mapping[str, str],
     *,
-    by: Sequence[str] = (),
+    by: Sequence[str],
     digits: int = 1,
     adjacent_only: bool = False,
 ) -> DataFrame:
     """Add the percent change of columns (measure -> new column) against the previous period in the data.
 
-    The first period has no predecessor and gets null. Periods may be missing; with ``adjacent_only`` a change across
-    a gap is null too. Without ``by`` all periods meet in one task, which suits what has one row per calendar year.
+    The first period has no predecessor and gets null. A row without a period gets null and is no predecessor. Periods
+    may be missing; with ``adjacent_only`` a change across a gap is null too. ``by`` has to be stated: with an empty one all
+    periods meet in one task, which suits only what was aggregated to a row per period.
     """
-    w = Window.partitionBy(*by).orderBy(period)
+    w = Window.partitionBy(*by).orderBy(F.asc_nulls_last(period))
     out = {}
     for measure, name in changes.items():
         change = percent_change(F.col(measure), F.lag(measure).over(w), digits)
+        change = F.when(F.col(period).isNotNull(), change)
         if adjacent_only:
             change = F.when(F.col(period) - F.lag(period).over(w) == 1, change)
         out[name] = change

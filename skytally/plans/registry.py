@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from skytally.functions.columns import CAUSES
 from skytally.plans import charts, reports
 from skytally.plans.rollup import rollup_flights
-from skytally.plans.sql_text import sql_report
+from skytally.plans.sql_text import register_view, sql_on_view, sql_report
 from skytally.sources.binding import bind_flights
 from skytally.sources.csv_folder import parse_lines
 from skytally.sources.schema import FLIGHT_COLUMNS
@@ -40,22 +40,38 @@ class FlightQuery:
         return self.report(bind_flights(spark, sf_dir, self.columns))
 
 
-def delay_by_carrier_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean delays by way of raw text: every flight is written as a line, with blanks around the carrier, an unreadable
-    delay on each 13th of a month, and header lines in between; then the lines are parsed and reported."""
-    flights = bind_flights(spark, sf_dir, ("FL_DATE", "OP_CARRIER", "ARR_DELAY"))
-    unreadable = F.dayofmonth("FL_DATE") == 13
-    values = {
-        "FL_DATE": F.col("FL_DATE").cast("string"),
-        "OP_CARRIER": F.concat(F.lit(" "), "OP_CARRIER", F.lit(" ")),
-        "ARR_DELAY": F.when(unreadable, F.lit("n/a")).otherwise(F.col("ARR_DELAY").cast("string")),
-    }
-    lines = flights.select(
-        F.concat_ws(",", *[F.coalesce(values.get(c, F.lit("")), F.lit("")) for c in FLIGHT_COLUMNS]).alias("value")
-    )
-    headers = spark.read.schema("r_regionkey int").parquet(f"{sf_dir}/region.parquet")
-    headers = headers.select(F.lit(",".join(FLIGHT_COLUMNS)).alias("value"))
-    return reports.delay_by_group(parse_lines(lines.unionByName(headers), list(FLIGHT_COLUMNS)))
+@dataclass(frozen=True)
+class LineQuery:
+    """A report by way of raw text: every flight is written as a line, with blanks around its values and a header line
+    after each flight of a 13th; then the lines are parsed, for the report's columns only."""
+
+    report: Callable[[DataFrame], DataFrame]
+    columns: tuple[str, ...]
+
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        flights = bind_flights(spark, sf_dir, dict.fromkeys(["FL_DATE", *self.columns]))
+        header = F.lit(",".join(FLIGHT_COLUMNS))
+        values = [
+            F.concat(F.lit(" "), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(" ")) if c in flights.columns else F.lit("")
+            for c in FLIGHT_COLUMNS
+        ]
+        line = F.concat_ws(",", *values)
+        after = F.when(F.dayofmonth("FL_DATE") == 13, F.array(line, header)).otherwise(F.array(line))
+        lines = flights.select(F.explode(after).alias("value"))
+        return self.report(parse_lines(lines, list(FLIGHT_COLUMNS), columns=self.columns))
+
+
+@dataclass(frozen=True)
+class ViewQuery:
+    """A SQL text on the flights registered as a view."""
+
+    text: str
+    columns: tuple[str, ...]
+
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        view = f"flights_for_{self.text}"
+        register_view(bind_flights(spark, sf_dir, self.columns), view)
+        return sql_on_view(spark, self.text, view=view)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -65,7 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delay_by_carrier_all_flights": FlightQuery(
         lambda f: reports.delay_by_group(f, only_positive=False), CARRIER_DELAYS
     ),
-    "delay_by_carrier_from_lines": delay_by_carrier_from_lines,
+    "delay_by_carrier_from_lines": LineQuery(reports.delay_by_group, CARRIER_DELAYS),
+    "volume_by_carrier_from_lines": LineQuery(lambda f: reports.volume_by_group(f, limit=10), ("OP_CARRIER",)),
+    "cancel_reasons_from_lines": LineQuery(lambda f: reports.reason_counts(f, drop_blank=True, decode=True), REASON),
     "cause_totals": FlightQuery(reports.cause_totals, tuple(CAUSES)),
     "worst_origins": FlightQuery(lambda f: reports.worst_groups(f, limit=10), ORIGIN_DELAYS),
     "cancel_reasons": FlightQuery(reports.reason_counts, REASON),
@@ -101,4 +119,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_worst_origins": FlightQuery(lambda f: sql_report(f, "worst_origins"), ORIGIN_DELAYS),
     "sql_cancel_reasons": FlightQuery(lambda f: sql_report(f, "cancel_reasons"), REASON),
     "sql_monthly_trend": FlightQuery(lambda f: sql_report(f, "monthly_trend"), MONTH_DELAYS),
+    "sql_view_monthly_trend": ViewQuery("monthly_trend", MONTH_DELAYS),
+    "sql_view_worst_origins": ViewQuery("worst_origins", ORIGIN_DELAYS),
 }

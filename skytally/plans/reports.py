@@ -190,9 +190,10 @@ def top_carriers_per_year(
     return top_k_per_group(carriers, ["year"], worst_first("avg_delay_min", keys), k).orderBy("year", "rank")
 
 
-def _year_groups(flights: DataFrame) -> DataFrame:
+def _year_groups(flights: DataFrame, digits: int | None = 2) -> DataFrame:
     m = measures_of(flights)
     arrivals = m.delay("ARR_DELAY")
+    rate = F.try_divide(m.cancelled(), m.flights()) * 100
     return grouped_report(
         flights,
         {"year": year_of(flights)},
@@ -200,8 +201,8 @@ def _year_groups(flights: DataFrame) -> DataFrame:
             "total_flights": m.flights(),
             "delayed_flights": arrivals.count,
             "cancellations": m.cancelled(),
-            "avg_delay_min": F.round(arrivals.mean, 2),
-            "cancel_rate_pct": percent_of(m.cancelled(), m.flights(), 2),
+            "avg_delay_min": arrivals.mean if digits is None else F.round(arrivals.mean, digits),
+            "cancel_rate_pct": rate if digits is None else F.round(rate, digits),
         },
     )
 
@@ -213,10 +214,11 @@ def year_summary(flights: DataFrame) -> DataFrame:
 
 
 def year_summary_change(flights: DataFrame, *, digits: int = 1, adjacent_only: bool = False) -> DataFrame:
-    """Percent change of every ``year_summary`` figure against the previous year in the data."""
+    """Percent change of every ``year_summary`` figure against the previous year in the data, from unrounded figures."""
     metrics = ["total_flights", "delayed_flights", "cancellations", "avg_delay_min", "cancel_rate_pct"]
     changes = {c: f"{c}_change_pct" for c in metrics}
-    out = change_over_periods(_year_groups(flights), "year", changes, digits=digits, adjacent_only=adjacent_only)
+    years = _year_groups(flights, digits=None)  # one row per calendar year
+    out = change_over_periods(years, "year", changes, by=(), digits=digits, adjacent_only=adjacent_only)
     return out.select("year", *changes.values()).orderBy("year")
 
 
@@ -275,6 +277,7 @@ _HEADLINE_KEYS = ("OP_CARRIER", "ORIGIN", "month", "CANCELLATION_CODE")
 
 def headline_extremes(flights: DataFrame, *, min_support: int = 1000) -> DataFrame:
     """One row: busiest and worst carrier, worst origin, worst and best month, top cause, top cancellation reason.
+    Flights without a carrier, origin or month do not compete for these; a missing reason does, as ``Unknown``.
 
     Flights are scanned once, into a small rollup. Its groups are then regrouped by each key alone, and the extremes
     picked with partial minima, so no task sees more than the group counts of a few tasks.
@@ -296,6 +299,8 @@ def headline_extremes(flights: DataFrame, *, min_support: int = 1000) -> DataFra
         """The measure and the key of the best group; equal measures go to the first key."""
         value = F.col(measure)
         keep = (F.col(f"without_{key}") == 0) & value.isNotNull()
+        if key != "CANCELLATION_CODE":
+            keep = keep & F.col(key).isNotNull()
         if where is not None:
             keep = keep & where
         rank = F.struct(

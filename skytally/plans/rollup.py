@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.functions.columns import month_of, year_of
+from skytally.functions.columns import marked, month_of, year_of
 from skytally.functions.measures import FlightMeasures, measures_of, rollup_columns
 
 ROLLUP_KEYS = ("year", "month", "OP_CARRIER", "ORIGIN", "DEST", "CANCELLATION_CODE")
@@ -24,8 +24,9 @@ def rollup_flights(flights: DataFrame, keys: Sequence[str] = ROLLUP_KEYS) -> Dat
     if measures_of(flights).rolled_up:
         raise ValueError("the input is already rolled up")
     derived = {
-        "year": year_of(flights),
-        "month": month_of(flights),
+        "year": marked(year_of(flights), "year"),
+        "month": marked(month_of(flights), "month"),
         "CANCELLATION_CODE": F.when(FlightMeasures().is_cancelled(), F.col("CANCELLATION_CODE")),
     }
-    return flights.groupBy(*[derived.get(k, F.col(k)).alias(k) for k in keys]).agg(*rollup_columns())
+    grouped = flights.groupBy(*[derived[k] if k in ("year", "month") else derived.get(k, F.col(k)).alias(k) for k in keys])
+    return grouped.agg(*rollup_columns())

@@ -6,7 +6,7 @@ with the DataFrame passed to it; replace it with the name of a view to run a tex
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from skytally.functions.columns import CAUSES
 
@@ -60,6 +60,14 @@ def sql_report(flights: DataFrame, name: str, *, limit: int = 10, min_support: i
     return flights.sparkSession.sql(SQL_REPORTS[name], flights=flights, limit=limit, min_support=min_support)
 
 
+def sql_on_view(
+    spark: SparkSession, name: str, *, view: str = "flights", limit: int = 10, min_support: int = 1000
+) -> DataFrame:
+    """Run one of the texts on a registered view, by its name in the text."""
+    text = SQL_REPORTS[name].format(flights=view, limit=int(limit), min_support=int(min_support))
+    return spark.sql(text)
+
+
 def register_view(flights: DataFrame, name: str = "flights") -> None:
     """Make the flights available to ``spark.sql`` under a name."""
     flights.createOrReplaceTempView(name)

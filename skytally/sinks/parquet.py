@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.functions.columns import has_column
+from skytally.functions.columns import has_marked
 from skytally.functions.measures import measures_of
 from skytally.plans import reports
 from skytally.plans.rollup import rollup_flights
 
 Report = Callable[[DataFrame], DataFrame]
 
-# The tables published by default, by folder name.
+ROLLUP = "flight_rollup"
+
+# The tables published by default, by folder name.
 PUBLISHED: dict[str, Report] = {
     "avg_delay": reports.delay_by_group,
     "worst_airports": reports.worst_groups,
@@ -22,14 +25,15 @@ PUBLISHED: dict[str, Report] = {
 }
 
 
-def land_flights(flights: DataFrame, path: str, *, rebalance: bool = False) -> None:
+def land_flights(flights: DataFrame, path: str, *, rebalance: bool = True) -> None:
     """Write flights as Parquet partitioned by year, replacing what is there.
 
-    Text is parsed once here, joins are made once here, and later reports read single columns. Input that comes in one
-    file per year needs no shuffle. Where every input split holds many years, ``rebalance`` shuffles the rows first and
-    lets adaptive execution cut large years into several files and merge small ones.
+    Text is parsed once here, joins are made once here, and later reports read single columns. The rows are shuffled by
+    year first, and adaptive execution cuts large years into several files and merges small ones; otherwise every task
+    would write a file for each year that it meets. Input that comes in one file per year needs no shuffle: there
+    ``rebalance=False`` saves it.
     """
-    out = flights if has_column(flights, "year") else flights.withColumn("year", F.year("FL_DATE"))
+    out = flights if has_marked(flights, "year") else flights.withColumn("year", F.year("FL_DATE"))
     if rebalance:
         out = out.hint("rebalance", F.col("year"))
     out.write.mode("overwrite").partitionBy("year").parquet(path)
@@ -40,13 +44,27 @@ def publish_reports(
 ) -> None:
     """Write every report to ``path/<name>``, in full and replacing what is there.
 
-    With ``one_scan`` the flights are rolled up once into ``path/flight_rollup``, a table, and the reports read that.
-    Tasks lost later then repeat work on the small table, not on the flights.
+    With ``one_scan`` the flights are rolled up once into ``path/flight_rollup``, a table, and the reports read that; those
+    that need more than a rollup has read the flights. Tasks lost later then repeat work on the small table, not on the
+    flights. Nothing is written before every report has a plan. The rollup's name is not free for a report.
     """
-    source = flights
-    if one_scan and not measures_of(flights).rolled_up:
-        rollup_path = f"{path.rstrip('/')}/flight_rollup"
-        rollup_flights(flights).write.mode("overwrite").parquet(rollup_path)
-        source = flights.sparkSession.read.parquet(rollup_path)
-    for name, report in (PUBLISHED if tables is None else tables).items():
-        report(source).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+    tables = PUBLISHED if tables is None else tables
+    if ROLLUP in tables:
+        raise ValueError(f"{ROLLUP} is the name of the rolled-up table")
+    root, spark = path.rstrip("/"), flights.sparkSession
+    rolled = rollup_flights(flights) if one_scan and not measures_of(flights).rolled_up else None
+    plans, from_rollup = {}, []
+    for name, report in tables.items():
+        try:
+            plans[name] = report(flights if rolled is None else rolled)
+            from_rollup += [name] if rolled is not None else []
+        except (AnalysisException, ValueError):
+            if rolled is None:
+                raise
+            plans[name] = report(flights)
+    if from_rollup:
+        rolled.write.mode("overwrite").parquet(f"{root}/{ROLLUP}")
+        landed = spark.read.parquet(f"{root}/{ROLLUP}")
+        plans |= {name: tables[name](landed) for name in from_rollup}
+    for name, plan in plans.items():
+        plan.write.mode("overwrite").parquet(f"{root}/{name}")

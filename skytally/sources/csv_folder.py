@@ -1,19 +1,20 @@
 """Flights from a folder of headed CSV files, for example one file per year.
 
 Bad input never stops a run and never changes a type: a value that does not parse becomes null, and the rest of its
-line stays. Blanks around values are dropped, quoted commas are kept. Folders inside the input folder are not read, so
-results may be written there.
+line stays. ``NaN`` and infinite numbers are no delays and become null too. Blanks around values are dropped, quoted commas
+are kept. All files of a folder are read, whatever their names; folders inside it are not, so results may be written there.
 """
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skytally.sources.schema import BAD_LINE, FLIGHT_COLUMNS, schema_for_header
-
-# Fixed value: the files of a folder that are read, plain or compressed.
-FILES = "*.{csv,csv.gz,csv.bz2}"
+from skytally.sources.schema import BAD_LINE, DATE_COLUMN, FLIGHT_COLUMNS, FLIGHT_SCHEMA, schema_for_header
 
 _PARSE_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -22,9 +23,32 @@ _PARSE_OPTIONS = {
 }
 
 
-def read_header(spark: SparkSession, path: str, *, pattern: str = FILES) -> list[str]:
+def _chosen_by(pattern: str | None) -> dict[str, str]:
+    return {} if pattern is None else {"pathGlobFilter": pattern}
+
+
+def _tell_what_is_left_out(spark: SparkSession, path: str | list[str], pattern: str | None) -> None:
+    """Warn when a pattern leaves files out, so that none is lost in silence."""
+    if pattern is not None:
+        every = set(spark.read.text(path).inputFiles())
+        left_out = sorted(every.difference(spark.read.options(**_chosen_by(pattern)).text(path).inputFiles()))
+        if left_out:
+            warnings.warn(f"{pattern} leaves out {len(left_out)} files, the first is {left_out[0]}", stacklevel=3)
+
+
+def _finite(column: str):
+    """The column without NaN, which is greater than any number, and without infinities."""
+    return F.when(F.abs(F.col(column)) < float("inf"), F.col(column)).alias(column)
+
+
+def _cleaned(flights: DataFrame) -> list:
+    doubles = {f.name for f in FLIGHT_SCHEMA if isinstance(f.dataType, T.DoubleType)}
+    return [_finite(c) if c in doubles else F.col(f"`{c}`") for c in flights.columns]
+
+
+def read_header(spark: SparkSession, path: str, *, pattern: str | None = None) -> list[str]:
     """Column names from the first line of one file; nothing else is read."""
-    reader = spark.read.options(header=True, pathGlobFilter=pattern, ignoreLeadingWhiteSpace=True)
+    reader = spark.read.options(header=True, ignoreLeadingWhiteSpace=True, **_chosen_by(pattern))
     return reader.csv(path).columns
 
 
@@ -32,11 +56,12 @@ def load_flights(
     spark: SparkSession,
     path: str | list[str],
     *,
-    pattern: str = FILES,
+    pattern: str | None = None,
     header: list[str] | None = None,
     keep_bad: bool = False,
 ) -> DataFrame:
-    """Flights of all matching files, with the declared columns only.
+    """Flights of all files, with the declared columns only. ``pattern`` reads the files whose names match it, and warns
+    of those that it leaves out.
 
     Types are declared, so nothing is scanned to infer them and one bad value cannot turn a column into text. All files
     need the columns in the same order; a file that differs is an error, not silently swapped values.
@@ -45,29 +70,53 @@ def load_flights(
     listed once more. ``keep_bad`` adds the column ``_bad`` with the whole line where a value did not parse. It is
     filled in when that value is read, so land such a frame (``sinks.land_flights``) before counting bad lines.
     """
+    _tell_what_is_left_out(spark, path, pattern)
     if header is None:
         header = read_header(spark, path if isinstance(path, str) else path[0], pattern=pattern)
     reader = (
         spark.read.schema(schema_for_header(header, keep_bad=keep_bad))
         .options(**_PARSE_OPTIONS)
-        .options(header=True, enforceSchema=False, pathGlobFilter=pattern)
+        .options(header=True, enforceSchema=False, **_chosen_by(pattern))
     )
     if keep_bad:
         reader = reader.option("columnNameOfCorruptRecord", BAD_LINE)
-    return reader.csv(path).select(*FLIGHT_COLUMNS, *([BAD_LINE] if keep_bad else []))
+    flights = reader.csv(path).select(*FLIGHT_COLUMNS, *([BAD_LINE] if keep_bad else []))
+    return flights.select(*_cleaned(flights))
 
 
-def parse_lines(lines: DataFrame, header: list[str], *, column: str = "value") -> DataFrame:
-    """Flights from raw lines already held as text. Header lines are dropped wherever they stand, as they do in the
-    middle of concatenated files, and so are empty lines."""
-    line, first = F.col(column), header[0].strip()
-    data = lines.filter(~line.startswith(first) & ~line.startswith(f'"{first}"') & (F.trim(line) != ""))
-    record = F.from_csv(F.col(column), schema_for_header(header).toDDL(), _PARSE_OPTIONS)
+def parse_lines(
+    lines: DataFrame, header: list[str], *, column: str = "value", columns: Sequence[str] = FLIGHT_COLUMNS
+) -> DataFrame:
+    """Flights from raw lines already held as text, with the given ``columns``; the others stay unconverted text.
+
+    Header lines are dropped wherever they stand, as they do in the middle of concatenated files, and so are empty lines. A
+    line is a header if a whole field of it is the name of the date column. One that has the flight columns in other places
+    than ``header`` is an error: its file would be read with swapped columns.
+    """
+    names = [h.strip() for h in header]
+    line = F.col(column)
+    fields = F.transform(F.split(F.translate(line, '"', ""), ","), lambda x: F.trim(F.regexp_replace(x, r"\s+$", "")))
+    in_place = F.lit(True)
+    for c in FLIGHT_COLUMNS:
+        in_place = in_place & F.get(fields, F.lit(names.index(c))).eqNullSafe(c)
+    # Nearly all lines end the test at its first branch, without being split.
+    is_data = (
+        F.when(~F.contains(line, F.lit(DATE_COLUMN)), F.trim(line) != "")
+        .when(~F.array_contains(fields, DATE_COLUMN), F.lit(True))
+        .when(in_place, F.lit(False))
+        .otherwise(F.raise_error(F.concat(F.lit("a header has its columns in another order: "), line)).cast("boolean"))
+    )
+    schema = T.StructType(
+        [f if f.name in columns else T.StructField(f.name, T.StringType()) for f in schema_for_header(header).fields]
+    )
+    record = F.from_csv(line, schema.toDDL(), _PARSE_OPTIONS)
     # Unfolding a one-element array keeps the parser from being copied into every later filter and projection.
-    return data.select(F.inline(F.array(record))).select(*FLIGHT_COLUMNS)
+    flights = lines.filter(is_data).select(F.inline(F.array(record))).select(*columns)
+    return flights.select(*_cleaned(flights))
 
 
-def load_flight_lines(spark: SparkSession, path: str, *, pattern: str = FILES) -> DataFrame:
-    """Flights of all matching files by way of raw text, for files with header lines in the middle."""
+def load_flight_lines(spark: SparkSession, path: str, *, pattern: str | None = None) -> DataFrame:
+    """Flights of all files by way of raw text, for files with header lines in the middle."""
+    _tell_what_is_left_out(spark, path, pattern)
     header = read_header(spark, path, pattern=pattern)
-    return parse_lines(spark.read.option("pathGlobFilter", pattern).text(path), header)
+    return parse_lines(spark.read.options(**_chosen_by(pattern)).text(path), header)

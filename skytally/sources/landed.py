@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skytally.functions.columns import marked
 from skytally.sources.schema import BAD_LINE, FLIGHT_SCHEMA
 
 
@@ -14,4 +16,5 @@ def read_landed(spark: SparkSession, path: str, *, keep_bad: bool = False) -> Da
     fields = [*FLIGHT_SCHEMA.fields, T.StructField("year", T.IntegerType())]
     if keep_bad:
         fields.append(T.StructField(BAD_LINE, T.StringType()))
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    landed = spark.read.schema(T.StructType(fields)).parquet(path)
+    return landed.select(*[marked(F.col(c), c) if c == "year" else F.col(c) for c in landed.columns])

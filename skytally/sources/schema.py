@@ -25,6 +25,9 @@ FLIGHT_SCHEMA = T.StructType(
 
 FLIGHT_COLUMNS = tuple(FLIGHT_SCHEMA.names)
 
+# The column by whose name a header line is told from data.
+DATE_COLUMN = "FL_DATE"
+
 BAD_LINE = "_bad"
 
 

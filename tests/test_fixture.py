@@ -62,8 +62,8 @@ def test_year_summary(fixture_flights):
 def test_year_summary_change(fixture_flights):
     first, second = rows(reports.year_summary_change(fixture_flights))
     assert first == (2017, None, None, None, None, None)
-    # mean 20.0 -> 23.33 and rate 25.0 -> 0.0
-    assert second == (2018, -62.5, 0.0, -100.0, 16.6, -100.0)
+    # mean 20.0 -> 23.333... and rate 25.0 -> 0.0
+    assert second == (2018, -62.5, 0.0, -100.0, 16.7, -100.0)
 
 
 def test_year_cause_minutes(fixture_flights):

@@ -6,7 +6,7 @@ from datetime import date
 import pytest
 from fixture_data import HEADER, ROWS_2017, ROWS_2018, write_fixture
 
-from skytally import load_flight_lines, load_flights, read_landed, reports
+from skytally import load_flight_lines, load_flights, read_landed, reports, rollup_flights
 from skytally.sinks import land_flights
 from skytally.sources import FLIGHT_SCHEMA
 
@@ -42,8 +42,9 @@ def test_different_column_order_is_an_error(spark, tmp_path):
     write_fixture(tmp_path)
     swapped = HEADER.replace("ORIGIN,DEST", "DEST,ORIGIN")
     (tmp_path / "2018.csv").write_text(f"{swapped}\n{ROWS_2018}")
-    with pytest.raises(Exception, match="header"):
-        load_flights(spark, str(tmp_path)).collect()
+    for load in (load_flights, load_flight_lines):
+        with pytest.raises(Exception, match="header"):
+            load(spark, str(tmp_path)).collect()
 
 
 def test_reports_on_columns_in_place_still_run(spark, tmp_path):
@@ -74,9 +75,45 @@ def test_missing_column_is_an_error(spark, tmp_path):
         load_flights(spark, str(tmp_path))
 
 
-def test_subfolders_and_other_files_are_ignored(spark, tmp_path):
+def test_all_files_are_read_whatever_their_names(spark, tmp_path, fixture_flights):
+    (tmp_path / "2017.CSV").write_text(f"{HEADER}\n{ROWS_2017}")
+    first, *rest = ROWS_2018.splitlines()
+    (tmp_path / "part-00000").write_text(f"{HEADER}\n{first}\n")
+    (tmp_path / "rest.txt").write_text("\n".join([HEADER, *rest, ""]))
+    assert as_set(load_flights(spark, str(tmp_path))) == as_set(fixture_flights)
+    assert as_set(load_flight_lines(spark, str(tmp_path))) == as_set(fixture_flights)
+
+
+def test_files_that_hold_no_flights_are_an_error(spark, tmp_path):
     write_fixture(tmp_path)
     (tmp_path / "notes.txt").write_text("not,flights\n")
+    with pytest.raises(Exception, match="header"):
+        load_flights(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("first", ["F", "", '"F"', " F ", "FL"])
+def test_first_column_of_any_name(spark, tmp_path, fixture_flights, first):
+    for year, rows in ((2017, ROWS_2017), (2018, ROWS_2018)):
+        body = "".join(f"F9,{line}\n" for line in rows.splitlines())
+        (tmp_path / f"{year}.csv").write_text(f"{first},{HEADER}\n{body}")
+    for load in (load_flights, load_flight_lines):
+        flights = load(spark, str(tmp_path))
+        assert flights.count() == 11 and as_set(flights) == as_set(fixture_flights)
+
+
+def test_numbers_that_are_none_are_null(spark, tmp_path):
+    body = ROWS_2018.replace("16.0,40.0", "Inf,NaN").replace("15.0,15.0", "-Infinity,15.0")
+    (tmp_path / "2018.csv").write_text(f"{HEADER}\n{body}")
+    for load in (load_flights, load_flight_lines):
+        flights = load(spark, str(tmp_path))
+        want = [("DL", 2, 15.0, 15.0)]
+        assert [tuple(r) for r in reports.delay_by_group(flights).collect()] == want
+        assert [tuple(r) for r in reports.delay_by_group(rollup_flights(flights)).collect()] == want
+        assert [r.DEP_DELAY for r in flights.orderBy("FL_DATE", "OP_CARRIER").collect()] == [None, None, 20.0]
+
+
+def test_subfolders_are_ignored(spark, tmp_path):
+    write_fixture(tmp_path)
     (tmp_path / "output").mkdir()
     (tmp_path / "output" / "old.csv").write_text(f"{HEADER}\n{ROWS_2017}")
     assert load_flights(spark, str(tmp_path)).count() == 11
@@ -90,7 +127,8 @@ def test_compressed_files(spark, tmp_path, fixture_flights):
 
 
 def test_pattern(spark, fixture_folder):
-    assert load_flights(spark, fixture_folder, pattern="2018*").count() == 3
+    with pytest.warns(UserWarning, match="leaves out 1 files"):
+        assert load_flights(spark, fixture_folder, pattern="2018*").count() == 3
 
 
 def test_several_paths(spark, fixture_folder):

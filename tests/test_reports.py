@@ -186,3 +186,36 @@ def test_random_flights_against_brute_force(make_flights, seed):
         mean, rate = half_up(sum(delays) / len(delays)), half_up(cancelled / len(years[year]) * 100)
         summary.append((year, len(years[year]), len(delays), cancelled, mean, rate))
     assert rows(reports.year_summary(flights)) == summary
+
+
+def test_rows_without_a_period_are_no_base(make_flights):
+    flights = make_flights(
+        {"FL_DATE": None, "ARR_DELAY": 1.0, "WEATHER_DELAY": 1.0},
+        *[{"FL_DATE": date(2017, 1, d), "ARR_DELAY": 10.0, "WEATHER_DELAY": 2.0} for d in (1, 2)],
+        {"FL_DATE": date(2018, 1, 1), "ARR_DELAY": 20.0, "WEATHER_DELAY": 8.0},
+    )
+    changes = {r.year: r for r in reports.year_summary_change(flights).collect()}
+    assert changes[None].total_flights_change_pct is None and changes[2017].total_flights_change_pct is None
+    assert changes[2018].total_flights_change_pct == -50.0 and changes[2018].avg_delay_min_change_pct == 100.0
+    weather = {r.year: r.change_pct for r in reports.cause_change(flights).collect() if r.cause == "Weather"}
+    assert weather == {None: None, 2017: None, 2018: 100.0}
+
+
+def test_missing_keys_win_no_headline(make_flights):
+    flights = make_flights(
+        {"FL_DATE": None, "OP_CARRIER": None, "ORIGIN": None, "ARR_DELAY": 99.0, "DEP_DELAY": 99.0},
+        {"FL_DATE": None, "OP_CARRIER": None, "ORIGIN": None, "ARR_DELAY": 99.0, "DEP_DELAY": 99.0},
+        {"OP_CARRIER": "A", "ORIGIN": "X", "ARR_DELAY": 5.0, "DEP_DELAY": 5.0},
+        {"CANCELLED": 1.0},
+    )
+    row = reports.headline_extremes(flights, min_support=0).collect()[0]
+    assert (row.busiest_carrier, row.worst_carrier, row.worst_origin, row.worst_month) == ("A", "A", "X", 1)
+    assert row.top_reason == "Unknown"
+
+
+def test_columns_that_look_derived_change_nothing(make_flights):
+    flights = make_flights({"ARR_DELAY": 5.0}, {"ARR_DELAY": 7.0})
+    decoys = flights.withColumns({"Year": F.lit(3000), "month": F.lit(13), "n_flights": F.lit(9)})
+    assert rows(reports.year_summary(decoys)) == rows(reports.year_summary(flights))
+    assert rows(reports.monthly_trend(decoys)) == rows(reports.monthly_trend(flights))
+    assert rows(reports.flight_count(rollup_flights(decoys))) == [(2,)]

@@ -56,3 +56,23 @@ def test_results_may_lie_in_the_input_folder(spark, tmp_path):
     folder = write_fixture(tmp_path)
     publish_reports(load_flights(spark, folder), f"{folder}/output")
     assert load_flights(spark, folder).count() == 11
+
+
+def test_own_reports_beside_those_of_the_rollup(spark, fixture_flights, tmp_path):
+    tables = {
+        "trend": reports.monthly_trend,
+        "all_delays": lambda f: reports.delay_by_group(f, only_positive=False),
+        "by_day": lambda f: f.groupBy("FL_DATE").count(),
+    }
+    publish_reports(fixture_flights, str(tmp_path), tables)
+    for name, report in tables.items():
+        assert sorted(spark.read.parquet(str(tmp_path / name)).collect()) == sorted(report(fixture_flights).collect())
+
+
+def test_nothing_is_written_if_a_report_has_no_plan(fixture_flights, tmp_path):
+    tables = {"trend": reports.monthly_trend, "wrong": lambda f: f.groupBy("NO_SUCH_COLUMN").count()}
+    with pytest.raises(Exception, match="NO_SUCH_COLUMN"):
+        publish_reports(fixture_flights, str(tmp_path), tables)
+    with pytest.raises(ValueError, match="flight_rollup"):
+        publish_reports(fixture_flights, str(tmp_path), {"flight_rollup": reports.monthly_trend})
+    assert not list(tmp_path.iterdir())
