@@ -215,11 +215,13 @@ def train(documents: DataFrame, *, sample: int = SAMPLE, shapes: int = SHAPES) -
             found: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 tokens = tokens_of(text or "", pattern_spans(text or ""))
-                labels = [max(0, t.label) for t in tokens]
-                found.update(("shape", t.shape, k, 0) for t, k in zip(tokens, labels, strict=True))
                 chain, skip = edges_of(tokens)
-                found.update(("chain", "", labels[i], labels[j]) for i, j in chain)
-                found.update(("skip", "", labels[i], labels[j]) for i, j in skip)
+                # A further mention of an observed one has no label to learn from: that is what the field decides.
+                open_ = {j for e in skip for i, j in (e, e[::-1]) if tokens[i].label > 0 > tokens[j].label}
+                labels = [max(0, t.label) for t in tokens]
+                found.update(("shape", t.shape, labels[i], 0) for i, t in enumerate(tokens) if i not in open_)
+                for part, edges in (("chain", chain), ("skip", skip)):
+                    found.update((part, "", labels[i], labels[j]) for i, j in edges if open_.isdisjoint((i, j)))
             keys = list(found)
             if keys:
                 columns = [pa.array(c) for c in zip(*keys, strict=True)]

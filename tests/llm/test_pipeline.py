@@ -1,0 +1,77 @@
+"""The pipeline stage by stage on its own input, and the queries that have SQL."""
+
+import duckdb
+import pyarrow.dataset as ds
+import pytest
+from test_dedup import brute_classes
+from test_tokens import check_packing
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from skytally.llm import pii, queries
+
+SF001 = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+@pytest.mark.parametrize("sf_dir", [SF001, "/root/testdata/sf0.01"])
+def test_query_matches_oracle(spark, name, sf_dir):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    want = con.execute(queries.ORACLE[name])
+    names = sorted(d[0] for d in want.description)
+    order = [[d[0] for d in want.description].index(n) for n in names]
+    rows = queries.QUERIES[name](spark, sf_dir).select(*names).collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(str(tuple(r[i] for i in order)) for r in want.fetchall())
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_stages(spark, tmp_path):
+    hf = Tokenizer.from_file(queries.TOKENIZER)
+    hf.encode_special_tokens = True
+    docs, seen = spark.read.parquet(f"{SF001}/documents.parquet"), []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before = docs.collect()
+        stage(spark, docs, SF001).write.parquet(str(tmp_path / str(i)))
+        docs = spark.read.parquet(str(tmp_path / str(i)))
+        if i < 4:
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+        seen.append((before, docs.collect()))
+    (raw, good), (_, exact), (_, near), (_, clean), (_, packed) = seen
+    labels = {r["doc_id"]: r["quality"] for r in ds.dataset(f"{SF001}/labels.parquet").to_table().to_pylist()}
+    kept = {r.doc_id for r in good}
+    truth = [(labels[r.doc_id], r.doc_id in kept) for r in raw if r.doc_id in labels]
+    assert all(k for y, k in truth if y) and sum(k for y, k in truth if not y) <= 1
+    assert {r.doc_id: r for r in raw if r.doc_id in kept} == {r.doc_id: r for r in good}
+    largest = {r.text: r.doc_id for r in sorted(good, key=lambda r: r.doc_id)}
+    assert sorted(r.doc_id for r in exact) == sorted(largest.values())
+    leads = {int(c.split(", ")[1]) for c in brute_classes([(r.doc_id, r.text) for r in exact])}
+    assert {r.doc_id for r in near} == leads
+    texts = {r.doc_id: r.text for r in near}
+    assert {r.doc_id for r in clean} == set(texts)
+    for r in clean:
+        assert r.n_chars == len(r.text) and (pii.pattern_spans(texts[r.doc_id]) or r.text == texts[r.doc_id])
+        assert not [s for s in pii.pattern_spans(r.text) if s[0] == "email"]
+    total, padded = check_packing(packed, [(r.doc_id, r.text) for r in clean], hf)
+    assert padded == 0 and total > 10_000
+    assert all(len(r.ids) == r.length for r in packed)
+
+
+def test_stages_take_odd_and_empty_tables(spark, odd, tmp_path):
+    rows = [(i, t, None, "s", None if t is None else len(t), "extra") for i, t in odd]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+    for name, frame in (("odd", docs), ("none", docs.limit(0))):
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            path = str(tmp_path / f"{name}-{i}")
+            stage(spark, frame, SF001).write.parquet(path)
+            frame = spark.read.parquet(path)
+        assert (frame.count() > 0) == (name == "odd")
+
+
+def test_run(spark):
+    assert corpus_pipeline.ORACLE_SQL is None
+    assert corpus_pipeline.run(spark, SF001).count() > 100
