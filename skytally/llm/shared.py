@@ -56,9 +56,14 @@ def training_sample(
     usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
     given = usable.groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
     counts = {row.y: row["count"] for row in given.groupBy("y").count().collect()}
+    # Only about twice as many as are taken compete for the places, however many labels there are.
+    draw, places = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)), 1 << 40
     chosen = None
     for y in (0, 1):
-        part = given.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        part = given.filter(F.col("y") == y)
+        if counts.get(y, 0) > 2 * per_class + 100:
+            part = part.filter(draw < int(places * (2 * per_class + 100) / counts[y]))
+        part = part.orderBy(draw, "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most 2 * per_class ids: small enough to broadcast whatever the size of the tables.
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
