@@ -3,8 +3,9 @@
 Every shingle of five words is hashed once. The upper bits of the hash choose one of 256 bins, and a bin keeps the least
 hash that fell into it. An empty bin borrows from a filled one by optimal densification: bin *j* tries the bins
 ``(a[j] + t * o[j]) mod 256`` for t = 0, 1, 2, ... and takes the value of the first filled one; ``o[j]`` is odd, so every
-bin is tried once and the search ends. Of every value the four lowest bits are stored, as one hexadecimal digit, so a
-fingerprint is 256 digits. Two unlike values agree in four bits by chance once in 16 times; ``likeness`` corrects for it.
+bin is tried once and the search ends. Of every bin the four lowest bits are stored, as one hexadecimal digit, so a
+fingerprint is 256 digits. They are those of the value hashed with the bin's number: a value that several bins borrowed
+then agrees with another one by chance in each of them apart, once in 16 times, which ``likeness`` corrects for.
 
 All hashes of a document are sorted in one array together with one upper bound per bin; the first entry of every bin is
 then its minimum, or its bound if the bin is empty. No shingle leaves its row, and nothing is shuffled.
@@ -49,7 +50,7 @@ def with_fingerprint(df: DataFrame, text_col: str, name: str, *, shingle: int =
     low = (1 << shift) - 1
     bounds = F.expr(f"transform(sequence(-{BINS // 2}, {BINS // 2 - 1}), j -> shiftleft(cast(j as bigint), {shift}) | {low}L)")
     # Each step is a column of its own: an expression used inside a lambda would be computed again for every element.
-    words, hashes, ordered, bits, filled = (f"__{name}_{step}" for step in ("words", "hashes", "ordered", "bits", "filled"))
+    words, hashes, ordered, values, filled = (f"__{name}_{step}" for step in ("words", "hashes", "ordered", "values", "filled"))
     starts, steps, inverses = (f"__{name}_{c}" for c in ("starts", "steps", "inverses"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     out = df.withColumn(words, F.array_remove(F.split(text, r"\s+"), ""))
@@ -64,29 +65,24 @@ def with_fingerprint(df: DataFrame, text_col: str, name: str, *, shingle: int =
     minima = F.filter(
         ordered, lambda x, i: (i == 0) | (F.shiftright(x, shift) != F.shiftright(F.get(ordered, i - 1), shift))
     )
-    out = out.withColumn(
-        bits,
-        F.transform(
-            minima,
-            lambda x: F.when(x.bitwiseAND(F.lit(low)) != low, x.bitwiseAND(F.lit((1 << KEPT) - 1)).cast("tinyint")),
-        ),
-    )
-    out = out.withColumn(filled, F.filter(F.transform(bits, lambda x, j: F.when(x.isNotNull(), j)), lambda j: j.isNotNull()))
+    out = out.withColumn(values, F.transform(minima, lambda x: F.when(x.bitwiseAND(F.lit(low)) != low, x)))
+    out = out.withColumn(filled, F.filter(F.transform(values, lambda x, j: F.when(x.isNotNull(), j)), lambda j: j.isNotNull()))
     out = out.withColumns({starts: _ints(STARTS), steps: _ints(STEPS), inverses: _ints(INVERSES)})
 
     def place(j: Column, t: Column) -> Column:
         return (F.get(starts, j) + t * F.get(steps, j)).bitwiseAND(F.lit(BINS - 1))
 
     def fill(x: Column, j: Column) -> Column:
-        tries = [F.get(bits, place(j, F.lit(t))) for t in range(PROBES)]
+        tries = [F.get(values, place(j, F.lit(t))) for t in range(PROBES)]
         # The number of the probe that reaches bin f; its minimum over the filled bins is the first that hits.
         first = F.array_min(
             F.transform(filled, lambda f: ((f - F.get(starts, j)) * F.get(inverses, j)).bitwiseAND(F.lit(BINS - 1)))
         )
-        return F.coalesce(x, *tries, F.get(bits, place(j, first)))
+        value = F.coalesce(x, *tries, F.get(values, place(j, first)))
+        return F.xxhash64(value, j).bitwiseAND(F.lit((1 << KEPT) - 1)).cast("tinyint")
 
-    out = out.withColumn(name, F.transform(bits, fill))
-    return out.drop(words, hashes, ordered, bits, filled, starts, steps, inverses)
+    out = out.withColumn(name, F.transform(values, fill))
+    return out.drop(words, hashes, ordered, values, filled, starts, steps, inverses)
 
 
 def packed(bits: Column) -> Column:
@@ -137,27 +133,30 @@ def fingerprint_edited(df: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     mark = F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), text)
-    docs = df.select(
-        F.col(id_col).alias("id"), text.alias("body"), F.unhex(F.sha2(mark, 256)).alias("key"), F.length(text).alias("n_chars")
-    )
+    docs = df.select(F.col(id_col).alias("id"), text.alias("body"), F.unhex(F.sha2(mark, 256)).alias("key"))
     keys = docs.select("id", "key").distinct()
     links = link_next(keys, [F.col("id").desc_nulls_last(), F.col("key").asc()], "key")
-    sizes = docs.select("key", F.floor(F.col("n_chars") / cut).cast("int").alias("tail")).distinct()
+    tail = F.floor(F.length("body") / cut).cast("int")
+    sizes = docs.select("key", tail.alias("tail")).distinct()
     links = checkpointed(links.join(sizes, "key").withColumnsRenamed({"key": "own_key", "next_key": "key"}))
 
+    # Both joins read these rows with the same columns by the same key, so Spark shuffles them once.
     printed = with_fingerprint(docs, "body", "bits")
     starts = (
         printed.join(links, "key")
-        .select(F.col("own_key").alias("key"), F.col("body").substr(F.lit(1), F.col("tail")).alias("start"), F.col("bits").alias("next_bits"))
+        .select(
+            F.col("own_key").alias("key"),
+            F.struct(F.col("body").substr(F.lit(1), F.col("tail")).alias("start"), "id", "bits").alias("next"),
+        )
         .groupBy("key")
-        .agg(F.min(F.struct("start", "next_bits")).alias("next"))
-    )
+        .agg(F.min("next").alias("next"))
+    )
     joined = printed.join(starts, "key").select(
         "id",
-        "n_chars",
+        "next",
         "bits",
-        F.col("next.next_bits").alias("next_bits"),
-        F.concat(F.expr("substring(body, 1, n_chars - floor(n_chars / %d))" % cut), F.col("next.start")).alias("edited"),
+        F.length("body").alias("n_chars"),
+        F.concat(F.col("body").substr(F.lit(1), F.length("body") - tail), F.col("next.start")).alias("edited"),
     )
     joined = with_fingerprint(joined, "edited", "edited_bits")
     return joined.select(
@@ -167,5 +166,6 @@ def fingerprint_edited(df: DataFrame, *, id_col: str = "doc_id", text_col: str =
         packed(F.col("bits")).alias("fingerprint"),
         packed(F.col("edited_bits")).alias("edited_fingerprint"),
         likeness(F.col("bits"), F.col("edited_bits")).alias("near_edited"),
-        likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
+        likeness(F.col("bits"), F.col("next.bits")).alias("near_next"),
+        F.col("next.id").alias("next_id"),
     )
