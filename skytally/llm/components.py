@@ -21,7 +21,7 @@ def merge_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
         return labels
     # The map from labels to labels is found over the labels alone, then applied to the nodes once.
     both = checkpointed(links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))))
-    lead = checkpointed(both.groupBy("x").agg(F.min(F.least("x", "y")).alias("to")))
+    lead = both.groupBy("x").agg(F.min(F.least("x", "y")).alias("to"))
     while True:
         around = (
             both.join(lead.select(F.col("x").alias("y"), F.col("to").alias("seen")), "y")
@@ -29,7 +29,6 @@ def merge_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
             .agg(F.min("seen").alias("seen"))
         )
         near = lead.join(around, "x").select("x", F.least("to", "seen").alias("next"), "to")
-        near = checkpointed(near)
         jump = near.select(F.col("x").alias("next"), F.col("next").alias("further"))
         moved = near.join(jump, "next", "left").select(
             "x", F.least("next", F.coalesce("further", "next")).alias("to"), F.col("to").alias("before")

@@ -9,8 +9,7 @@ Pairs are verified by the alignment of their word sequences: near means that sin
 the longer text (edit similarity of 0.8 or more). Classes are the connected components of near pairs.
 
 No bucket is expanded into all its pairs. Members are first compared with the lead that they meet most often, then with the
-other leads of their buckets (the least node, then the greatest), each time only across classes. Buckets whose members all
-have one class are done. In the others the pairs of different classes that were never compared are compared too, each
+least and the greatest node of their buckets, across classes only. Buckets whose members all have one class are done. In the others the pairs of different classes that were never compared are compared too, each
 once, so every link between texts that share a bucket counts. There is no cap on buckets, partners or candidates.
 
 Equal texts are one node and never compared. A null text is empty. Texts without words are near to their copies only. Rows
@@ -22,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,8 +109,8 @@ def edit_similarity(left: np.ndarray, right: np.ndarray, least: float) -> float:
     """``1 - distance / longer length`` of two word sequences, or 0.0 where it is under ``least``.
 
     The distance is that of single-word insertions, deletions and replacements. Bounds that need no alignment come first:
-    the lengths, and the words that only one side has. Then the sequences are aligned in a band around the diagonal, eight
-    words wide at first and wider until the distance fits into it or the band holds every distance that is allowed.
+    the lengths, and the words that only one side has. Then the sequences are aligned in the band of diagonals that the
+    allowed distance can reach: diagonal by diagonal for few edits, row by row where more are allowed and needed.
     """
     longer = max(len(left), len(right))
     if not longer:
@@ -131,15 +131,46 @@ def edit_similarity(left: np.ndarray, right: np.ndarray, least: float) -> float:
     differs = np.flatnonzero(a[::-1][:same] != b[::-1][:same])
     tail = int(differs[0]) if len(differs) else same
     a, b = a[: len(a) - tail], b[: len(b) - tail]
-    band = 8
-    while True:
-        band = min(band, allowed)
-        distance = _banded_distance(a, b, band)
-        if distance <= band:
-            return 1 - distance / longer
-        if band == allowed:
-            return 0.0
-        band *= 2
+    few = min(allowed, FEW_EDITS)
+    distance = _furthest_reaching(a, b, few)
+    if distance > few < allowed:
+        distance = _banded_distance(a, b, allowed)
+    return 1 - distance / longer if distance <= allowed else 0.0
+
+
+# Up to so many edits, going along diagonals costs less than going through all rows of the band.
+FEW_EDITS = 100
+
+
+def _furthest_reaching(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """The edit distance where it is at most ``most``; otherwise ``most + 1``.
+
+    For 0, 1, 2, ... edits it keeps how far into ``a`` each diagonal of the band can be followed. On a diagonal, equal words
+    cost nothing, so the next stop is its next mismatch.
+    """
+    n, m = len(a), len(b)
+    goal, stops = m - n, {}
+
+    def slide(diagonal: int, i: int) -> int:
+        if diagonal not in stops:
+            low, high = max(0, -diagonal), min(n, m - diagonal)
+            differs = np.flatnonzero(a[low:high] != b[low + diagonal : high + diagonal]) + low
+            # Short lists are searched faster; long texts need the room.
+            stops[diagonal] = [*differs.tolist(), high] if n < 2000 else np.append(differs, high).astype(np.int32)
+        found = stops[diagonal]
+        return int(found[min(bisect_left(found, i), len(found) - 1)])
+
+    reach = {0: slide(0, 0)}
+    for edits in range(most + 1):
+        if reach.get(goal, -1) >= n:
+            return edits
+        ahead = {}
+        for d in range(max(-edits - 1, -n), min(edits + 1, m) + 1):
+            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2), reach.get(d + 1, -2) + 1)
+            if i >= max(0, -d):
+                ahead[d] = slide(d, min(i, n, m - d))
+        reach = ahead
+    return most + 1
 
 
 def _banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -190,13 +221,12 @@ def _bounded(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.filter(F.least("n", "m") >= F.greatest("n", "m") * similarity - 1e-6)
 
 
-def _apart(pairs: DataFrame, labels: DataFrame, tested: DataFrame | None) -> DataFrame:
+def _apart(pairs: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
     """The pairs of different classes that were not tested yet."""
     out = pairs.join(labels.select(F.col("node").alias("a"), F.col("label").alias("x")), "a").join(
         labels.select(F.col("node").alias("b"), F.col("label").alias("y")), "b"
     )
-    out = out.filter("x != y").select("a", "b")
-    return out if tested is None else out.join(tested, ["a", "b"], "left_anti")
+    return out.filter("x != y").select("a", "b").join(tested, ["a", "b"], "left_anti")
 
 
 def find_near_duplicates(
@@ -259,26 +289,22 @@ def find_near_duplicates(
     texts = checkpointed(texts)
     labels = checkpointed(members.select("node", F.col("node").alias("label")))
 
-    def star(lead: str) -> DataFrame:
-        """Every member of a bucket with the bucket's lead."""
-        pairs = entries.filter(f"node != {lead}").select(F.least("node", lead).alias("a"), F.greatest("node", lead).alias("b"), "node")
-        return pairs.join(members.select(F.col("node").alias("a"), F.col("n_words").alias("n")), "a").join(
-            members.select(F.col("node").alias("b"), F.col("n_words").alias("m")), "b"
-        )
-
+    # Every member of a bucket with its least and greatest node, and in how many buckets they meet.
+    leads = F.explode(F.array("lo", "hi")).alias("lead")
+    stars = entries.select("node", "n_words", leads).filter("node != lead").groupBy("node", "lead", F.col("n_words").alias("n"))
+    stars = stars.agg(F.count("*").alias("times")).join(
+        members.select(F.col("node").alias("lead"), F.col("n_words").alias("m")), "lead"
+    )
+    stars = checkpointed(
+        _bounded(stars, similarity).select("node", "times", F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
+    )
     # First the lead that a node meets in most buckets: one pair per node ties most classes together.
-    often = _bounded(star("lo"), similarity).groupBy("node", "a", "b").agg(F.count("*").alias("times"))
-    first = often.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("times", F.negative("a"))).alias("pair"))
-    tested = None
-    steps = [
-        lambda: first.select("pair.a", "pair.b"),
-        lambda: _bounded(star("lo"), similarity).select("a", "b"),
-        lambda: _bounded(star("hi"), similarity).select("a", "b"),
-    ]
-    for step in steps:
-        pairs = checkpointed(_apart(step().distinct(), labels, tested))
-        labels = merge_labels(labels, _verify(pairs, texts, similarity))
-        tested = pairs if tested is None else checkpointed(tested.unionByName(pairs))
+    often = stars.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("times", F.negative("a"))).alias("pair"))
+    tested = checkpointed(often.select("pair.a", "pair.b").distinct())
+    labels = merge_labels(labels, _verify(tested, texts, similarity))
+    pairs = checkpointed(_apart(stars.select("a", "b").distinct(), labels, tested))
+    labels = merge_labels(labels, _verify(pairs, texts, similarity))
+    tested = tested.unionByName(pairs)
 
     # What is left: pairs of different classes in one bucket, each in the first bucket that it shares.
     labelled = entries.select("j", "v", "node", F.col("n_words").alias("n")).join(labels, "node")
