@@ -9,8 +9,10 @@ Pairs are verified by the alignment of their word sequences: near means that sin
 the longer text (edit similarity of 0.8 or more). Classes are the connected components of near pairs.
 
 No bucket is expanded into all its pairs. Members are first compared with the lead that they meet most often, then with the
-least and the greatest node of their buckets, across classes only. Buckets whose members all have one class are done. In the others the pairs of different classes that were never compared are compared too, each
-once, so every link between texts that share a bucket counts. There is no cap on buckets, partners or candidates.
+least and the greatest node of their buckets, across classes only. Buckets whose members all have one class are done. In the
+others all pairs of different classes are looked at, block by block: their lengths and word counts bound their distance, and
+pairs that may still be near are aligned, each once. So every link between texts that share a bucket counts. There is no cap
+on buckets, partners or candidates.
 
 Equal texts are one node and never compared. A null text is empty. Texts without words are near to their copies only. Rows
 that repeat an id are rows of their own; a null id is larger than no other, so it names a class only where all ids are
@@ -37,6 +39,10 @@ SHINGLE = 5
 SKETCHES = 32
 TAKEN = 2
 
+# Classes of the word counts that bound distances, and members of a block of a large bucket.
+COUNTED = 128
+BLOCK = 1000
+
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _WORDS: dict[str, int] = {}
 _REMEMBERED = 500_000
@@ -55,6 +61,11 @@ def word_hashes(text: str) -> np.ndarray:
     return hashes[hashes != 0]
 
 
+def word_counts(words: np.ndarray) -> bytes:
+    """How many words fall into each of ``COUNTED`` classes, 255 at most; bounds the distance of texts from below."""
+    return np.minimum(np.bincount((words >> np.uint64(1)).astype(np.int64) % COUNTED, minlength=COUNTED), 255).astype(np.uint8).tobytes()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -221,6 +232,73 @@ def _bounded(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.filter(F.least("n", "m") >= F.greatest("n", "m") * similarity - 1e-6)
 
 
+def _possible_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of different classes in one bucket that lengths and word counts leave possible.
+
+    A bucket of any size is cut into blocks of about ``BLOCK`` members, and every two blocks meet in a group of their own, so
+    no group grows with its bucket. Inside a group the bounds of all pairs are taken as arrays; a pair leaves it only if it
+    may still be near. ``entries``: ``j``, ``v``, ``blocks`` of the bucket, ``node``, ``label``, ``n_words``, ``word_counts``.
+    """
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = entries.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["j", "v", "low", "high"]
+    dealt = dealt.select(
+        "j", "v", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "label",
+        "n_words", "word_counts",
+    )
+    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = dealt.repartition(tasks, *keys).sortWithinPartitions(*keys)
+
+    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        mine, node, label, n = (table.column(c).to_numpy() for c in ("mine", "node", "label", "n_words"))
+        counts = np.frombuffer(b"".join(table.column("word_counts").to_pylist()), np.uint8).reshape(len(node), -1).astype(np.int16)
+        one = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        left = np.arange(len(node)) if one else np.flatnonzero(mine == mine.min())
+        right = left if one else np.flatnonzero(mine != mine.min())
+        out = []
+        for i in left:
+            ahead = right[right > i] if one else right
+            longer = np.maximum(n[i], n[ahead])
+            ahead = ahead[(label[ahead] != label[i]) & (np.minimum(n[i], n[ahead]) >= longer * similarity - 1e-6)]
+            if len(ahead):
+                # An edit changes two counts by one at most; so does the difference of lengths.
+                apart = np.abs(counts[ahead] - counts[i]).sum(axis=1, dtype=np.int64)
+                least = (apart + np.abs(n[ahead] - n[i])) / 2
+                ahead = ahead[least <= (1 - similarity) * np.maximum(n[i], n[ahead]) + 1e-6]
+                out += [(min(node[i], x), max(node[i], x)) for x in node[ahead].tolist()]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches, keys):
+            a, b = compare(group)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    return grouped.mapInArrow(run, "a long, b long")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal keys, in sorted batches, as one table."""
+    held: list[pa.RecordBatch] = []
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        changes = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        cuts = [0, *changes.tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            key = tuple(c[start] for c in columns)
+            if held and key != before:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            before = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _apart(pairs: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
     """The pairs of different classes that were not tested yet."""
     out = pairs.join(labels.select(F.col("node").alias("a"), F.col("label").alias("x")), "a").join(
@@ -254,20 +332,21 @@ def find_near_duplicates(
                     pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
                     pa.array([len(w) for w in words], pa.int32()),
                     pa.array(found, pa.list_(pa.int64())),
+                    pa.array([word_counts(w) for w in words], pa.binary()),
                 ],
-                ["id", "text_key", "n_words", "sketches"],
+                ["id", "text_key", "n_words", "sketches", "word_counts"],
             )
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketched = checkpointed(
-        rows.mapInArrow(sketch_all, f"id {kind}, text_key binary, n_words int, sketches array<bigint>")
+        rows.mapInArrow(sketch_all, f"id {kind}, text_key binary, n_words int, sketches array<bigint>, word_counts binary")
     )
     # One node per different text: copies meet by their digest, one row per task and text before the shuffle.
     nodes = checkpointed(
         sketched.groupBy("text_key")
         .agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"),
-             F.max("sketches").alias("sketches"))
+             F.max("sketches").alias("sketches"), F.max("word_counts").alias("word_counts"))
         .withColumn("node", F.monotonically_increasing_id())
     )
 
@@ -277,11 +356,11 @@ def find_near_duplicates(
     shared = checkpointed(shared.filter("members > 1").drop("members"))
     entries = checkpointed(entries.join(shared, ["j", "v"]))
     members = checkpointed(entries.select("node", "n_words").distinct())
-    wanted = nodes.join(members.select("node"), "node", "left_semi").select("node", "text_key", "first_id", "sketches")
+    wanted = nodes.join(members.select("node"), "node", "left_semi").select("node", "text_key", "first_id")
     keyed = rows.select("id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.sha2("text", 256)))
     # Of several rows with the text, only those with its least id are fetched, and one of these is kept.
     texts = (
-        keyed.join(wanted.select("node", "text_key", "first_id"), "text_key")
+        keyed.join(wanted, "text_key")
         .filter(F.col("id").eqNullSafe(F.col("first_id")))
         .groupBy("node")
         .agg(F.min("text").alias("text"))
@@ -306,22 +385,12 @@ def find_near_duplicates(
     labels = merge_labels(labels, _verify(pairs, texts, similarity))
     tested = tested.unionByName(pairs)
 
-    # What is left: pairs of different classes in one bucket, each in the first bucket that it shares.
-    labelled = entries.select("j", "v", "node", F.col("n_words").alias("n")).join(labels, "node")
-    mixed = labelled.groupBy("j", "v").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("j", "v")
-    open_ = checkpointed(
-        labelled.join(mixed, ["j", "v"]).join(wanted.select("node", "sketches"), "node")
-    )
-    other = open_.select("j", "v", *[F.col(c).alias(f"{c}_2") for c in ("node", "n", "label", "sketches")])
-    agree = F.zip_with("sketches", "sketches_2", lambda x, y: x == y)
-    rest = (
-        open_.join(other, ["j", "v"])
-        .filter("node < node_2 and label != label_2")
-        .filter(F.least("n", "n_2") >= F.greatest("n", "n_2") * similarity - 1e-6)
-        .filter(F.array_position(agree, F.lit(True)) == F.col("j") + 1)
-        .select(F.col("node").alias("a"), F.col("node_2").alias("b"))
-        .join(tested, ["a", "b"], "left_anti")
-    )
+    # What is left: pairs of different classes in one bucket.
+    labelled = entries.select("j", "v", "node", "n_words").join(labels, "node")
+    mixed = labelled.groupBy("j", "v").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
+    mixed = mixed.filter("x != y").select("j", "v", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    open_ = labelled.join(mixed, ["j", "v"]).join(nodes.select("node", "word_counts"), "node")
+    rest = _possible_pairs(open_, similarity).distinct().join(tested, ["a", "b"], "left_anti")
     labels = merge_labels(labels, _verify(checkpointed(rest), texts, similarity))
 
     classed = checkpointed(
