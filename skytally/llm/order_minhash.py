@@ -1,9 +1,14 @@
 """Near duplicates by order MinHash, verified by banded alignment.
 
-Words are lower-cased and freed from marks at their edges. A text's shingles of five words carry the number of their
-occurrence, so all of them differ. Each of 32 sketches takes the two shingles with the least hashes and keeps the order
+Words are lower-cased and freed from marks at their edges. A text's shingles of two words carry the number of their
+occurrence, so all of them differ. Each of 64 sketches takes the three shingles with the least hashes and keeps the order
 in which they stand in the text, so texts share a sketch the more likely the fewer words were inserted, dropped,
-replaced or moved. Texts that share a sketch meet in a bucket.
+replaced or moved. Texts that share a sketch meet in a bucket. Where a fifth of the words is replaced at random, a pair has
+about 0.1 to share a given sketch, and 0.08 where it is every fifth word.
+
+Pairs of at most ``SHORT`` words are found without chance. If ``k`` edits are allowed for the longer text and it is cut into
+``k + 1`` parts, one part stands unchanged in the other text, at most so far from its place as the edits allow. Each text
+enters the buckets of its own words at all these places, for every length that a longer partner may have.
 
 Pairs are verified by the alignment of their word sequences: near means that single-word edits make up at most a fifth of
 the longer text (edit similarity of 0.8 or more). Classes are the connected components of near pairs.
@@ -35,9 +40,12 @@ from pyspark.sql import functions as F
 from skytally.llm.components import merge_labels
 from skytally.llm.shared import checkpointed, in_slices
 
-SHINGLE = 5
-SKETCHES = 32
-TAKEN = 2
+SHINGLE = 2
+SKETCHES = 64
+TAKEN = 3
+
+# Pairs whose longer text has at most so many words are found by equal parts instead of sketches.
+SHORT = 20
 
 # Classes of the word counts that bound distances, and members of a block of a large bucket.
 COUNTED = 128
@@ -72,7 +80,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def labelled_shingles(words: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+def labelled_shingles(words: np.ndarray, shingle: int = 5) -> np.ndarray:
     """Hashes of the word shingles in text order, each with the number of its occurrence so far, so all differ. Fewer
     words than a shingle are one shingle."""
     if not len(words):
@@ -116,6 +124,43 @@ def sketch(shingles: np.ndarray, sketches: int = SKETCHES, taken: int = TAKEN) -
     return v.view(np.int64)
 
 
+def equal_parts(words: np.ndarray, similarity: float = 0.8, longest: int = SHORT) -> np.ndarray:
+    """Hashes of which any two texts of at most ``longest`` words share one if their edit similarity is ``similarity`` or more.
+
+    A partner of ``n`` words, at least as long, is cut into one part more than it has edits. For each of its parts, the
+    hashes are of the own words where that part may stand: words before and behind it that one text has more than the other
+    are edits too.
+    """
+    found = set()
+    m = len(words)
+    for n in range(m, longest + 1) if m else ():
+        edits = int((1 - similarity) * n + 1e-9)
+        if n - m > edits:
+            break
+        cuts = [n * i // (edits + 1) for i in range(edits + 2)]
+        for part, (start, end) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            for moved in range(-edits, edits + 1):
+                if abs(moved) + abs(n - m + moved) <= edits and 0 <= start + moved and end + moved <= m:
+                    found.add((n, part, words[start + moved : end + moved].tobytes()))
+    hashes = [xxhash.xxh64_intdigest(w, seed=1000 * n + part) for n, part, w in sorted(found)]
+    return np.array(hashes, np.uint64).view(np.int64)
+
+
+def bucket_keys(
+    words: np.ndarray,
+    similarity: float = 0.8,
+    *,
+    sketches: int = SKETCHES,
+    taken: int = TAKEN,
+    shingle: int = SHINGLE,
+) -> np.ndarray:
+    """The buckets of a text: equal parts for partners of at most ``SHORT`` words, sketches for longer ones."""
+    parts = equal_parts(words, similarity)
+    if len(words) < (SHORT + 1) * similarity - 1e-6:
+        return parts
+    return np.concatenate([parts, sketch(labelled_shingles(words, shingle), sketches, taken)])
+
+
 def edit_similarity(left: np.ndarray, right: np.ndarray, least: float) -> float:
     """``1 - distance / longer length`` of two word sequences, or 0.0 where it is under ``least``.
 
@@ -237,13 +282,13 @@ def _possible_pairs(entries: DataFrame, similarity: float) -> DataFrame:
 
     A bucket of any size is cut into blocks of about ``BLOCK`` members, and every two blocks meet in a group of their own, so
     no group grows with its bucket. Inside a group the bounds of all pairs are taken as arrays; a pair leaves it only if it
-    may still be near. ``entries``: ``j``, ``v``, ``blocks`` of the bucket, ``node``, ``label``, ``n_words``, ``word_counts``.
+    may still be near. ``entries``: ``v``, ``blocks`` of the bucket, ``node``, ``label``, ``n_words``, ``word_counts``.
     """
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = entries.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ["j", "v", "low", "high"]
+    keys = ["v", "low", "high"]
     dealt = dealt.select(
-        "j", "v", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "label",
+        "v", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "label",
         "n_words", "word_counts",
     )
     tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -325,7 +370,7 @@ def find_near_duplicates(
         for batch in in_slices(batches, 256):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             words = [word_hashes(t) for t in texts]
-            found = [sketch(labelled_shingles(w, shingle), sketches, taken) for w in words]
+            found = [bucket_keys(w, similarity, sketches=sketches, taken=taken, shingle=shingle) for w in words]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -351,10 +396,10 @@ def find_near_duplicates(
     )
 
     # Buckets with more than one node; each entry keeps the bucket's least and greatest node.
-    entries = nodes.filter("n_words > 0").select("node", "n_words", F.posexplode("sketches").alias("j", "v"))
-    shared = entries.groupBy("j", "v").agg(F.count("*").alias("members"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    entries = nodes.filter("n_words > 0").select("node", "n_words", F.explode("sketches").alias("v"))
+    shared = entries.groupBy("v").agg(F.count("*").alias("members"), F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = checkpointed(shared.filter("members > 1").drop("members"))
-    entries = checkpointed(entries.join(shared, ["j", "v"]))
+    entries = checkpointed(entries.join(shared, "v"))
     members = checkpointed(entries.select("node", "n_words").distinct())
     wanted = nodes.join(members.select("node"), "node", "left_semi").select("node", "text_key", "first_id")
     keyed = rows.select("id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.sha2("text", 256)))
@@ -386,10 +431,10 @@ def find_near_duplicates(
     tested = tested.unionByName(pairs)
 
     # What is left: pairs of different classes in one bucket.
-    labelled = entries.select("j", "v", "node", "n_words").join(labels, "node")
-    mixed = labelled.groupBy("j", "v").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
-    mixed = mixed.filter("x != y").select("j", "v", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    open_ = labelled.join(mixed, ["j", "v"]).join(nodes.select("node", "word_counts"), "node")
+    labelled = entries.select("v", "node", "n_words").join(labels, "node")
+    mixed = labelled.groupBy("v").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
+    mixed = mixed.filter("x != y").select("v", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    open_ = labelled.join(mixed, "v").join(nodes.select("node", "word_counts"), "node")
     rest = _possible_pairs(open_, similarity).distinct().join(tested, ["a", "b"], "left_anti")
     labels = merge_labels(labels, _verify(checkpointed(rest), texts, similarity))
 

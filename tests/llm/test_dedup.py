@@ -156,6 +156,58 @@ def test_near_classes_of_odd_rows(docs, odd):
     assert order_minhash.find_near_duplicates(docs([])).collect() == []
 
 
+def share_a_bucket(a, b):
+    return bool(set(order_minhash.bucket_keys(a).tolist()) & set(order_minhash.bucket_keys(b).tolist()))
+
+
+def test_short_near_texts_are_all_found():
+    rng = random.Random(5)
+    near = Counter()
+    for _ in range(6000):
+        a = [rng.randrange(12) for _ in range(rng.randint(1, order_minhash.SHORT))]
+        b = edited(a, rng.randint(1, 4), rng)
+        if 0 < len(b) <= order_minhash.SHORT and slow_distance(a, b) <= max(len(a), len(b)) / 5 + 1e-9:
+            near[max(len(a), len(b))] += 1
+            assert share_a_bucket(np.array(a, np.uint64), np.array(b, np.uint64)), (a, b)
+    assert min(near[n] for n in range(5, order_minhash.SHORT + 1)) > 20
+
+
+@pytest.mark.parametrize("kind", ["every fifth", "a fifth", "mixed"])
+def test_recall_near_the_threshold(kind):
+    """Pairs with an edit similarity of 0.8 to 0.9, by length; the figures are in the README."""
+    rng = random.Random(7)
+    for low, high in ((order_minhash.SHORT + 1, 40), (41, 150), (151, 600)):
+        met = total = 0
+        while total < 250:
+            n = rng.randint(low, high)
+            a = [rng.getrandbits(60) for _ in range(n)]
+            b = list(a)
+            if kind == "every fifth":
+                b[4::5] = [rng.getrandbits(60) for _ in b[4::5]]
+            elif kind == "a fifth":
+                for i in rng.sample(range(n), n // 5):
+                    b[i] = rng.getrandbits(60)
+            else:
+                b = edited(a, rng.randint(n // 10, n // 5), rng)
+            a, b = np.array(a, np.uint64), np.array(b, np.uint64)
+            if 0.8 <= order_minhash.edit_similarity(a, b, 0.8) <= 0.9:
+                total += 1
+                met += share_a_bucket(a, b)
+        print(f"recall, {kind}, {low} to {high} words: {met} of {total}")
+        assert met >= 0.97 * total
+
+
+def test_short_and_thinly_edited_texts_are_classes(docs):
+    """Ten words with the fifth replaced, nine likewise, five against the same and one more; every fifth word replaced."""
+    pairs = []
+    for k, n in enumerate((10, 9, 5, 100)):
+        a = [f"t{k}w{i}" for i in range(n)]
+        b = [*a[:4], "other", *a[5:]] if n in (9, 10) else [*a, "other"] if n == 5 else [f"new{i}" if i % 5 == 4 else w for i, w in enumerate(a)]
+        pairs += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    want = sorted(str((i, i - i % 2, 2)) for i in range(8))
+    assert brute_classes(pairs) == want == near_classes(docs(pairs))
+
+
 def test_a_chain_in_one_bucket_is_one_class(docs):
     """Neighbours are near, ends are not: links between members that no lead is near to must count."""
     base = [f"w{i}" for i in range(100)]
