@@ -66,7 +66,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of packed sequences, with their ids."""
-    return packing.pack_documents(docs.select("doc_id", "text"), TOKENIZER, with_ids=True)
+    return packing.pack_documents(docs.select("doc_id", "text"), TOKENIZER, with_ids=True, special_tokens=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -12,27 +14,39 @@ from skytally.llm.pretokens import ChunkEncoder
 # Fixed value: the pattern that the byte-level pre-tokenizer of the library applies.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_LOADED: dict[str, tuple] = {}
+_LOADED: dict[tuple[str, bool], tuple] = {}
 
 
-def text_encoder(path: str) -> tuple[Callable[[list], list[np.ndarray]], np.ndarray]:
+def text_encoder(path: str, special_tokens: bool = False) -> tuple[Callable[[list], list[np.ndarray]], np.ndarray]:
     """A function from texts to arrays of ids, and the number of bytes of every id. Loaded once per worker.
 
-    Distinct pieces are encoded by the library itself, one batch at a time, and remembered.
+    With ``special_tokens``, special tokens whose literal stands in a text get their own ids, as an unchanged tokenizer of
+    the file gives them with ``add_special_tokens=False``; without, their literals are text like any other (the library's
+    ``encode_special_tokens``). Texts are cut at added tokens first. Distinct pieces of the parts between are encoded by the
+    library itself, one batch at a time, and remembered.
     """
-    if path not in _LOADED:
+    if (path, special_tokens) not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        if not isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel):
+        whole = Tokenizer.from_file(path)
+        if not isinstance(whole.pre_tokenizer, pre_tokenizers.ByteLevel):
             raise ValueError(f"{path} has no byte-level pre-tokenizer")
+        added = whole.get_added_tokens_decoder()
+        cut = {t.content: i for i, t in added.items() if special_tokens or not t.special}
+        if odd := [t.content for t in added.values() if t.content in cut and (t.single_word or t.lstrip or t.rstrip)]:
+            raise ValueError(f"{path} has added tokens that take the text around them into account: {odd}")
+        # The longest of the tokens that start at a place counts, as in the library.
+        at_added = re.compile("|".join(map(re.escape, sorted(cut, key=len, reverse=True)))) if cut else None
+        # Parts between added tokens hold none, so pieces are encoded by the same file without them.
+        with open(path, encoding="utf-8") as file:
+            tokenizer = Tokenizer.from_str(json.dumps(json.load(file) | {"added_tokens": [], "post_processor": None}))
 
-        # A byte-level vocabulary writes every byte as one character.
-        lengths = np.zeros(tokenizer.get_vocab_size(), np.int64)
-        for token, i in tokenizer.get_vocab().items():
-            lengths[i] = len(token)
+        # A byte-level vocabulary writes every byte as one character; added tokens are written as they are.
+        vocabulary = whole.get_vocab()
+        lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            lengths[i] = len(token.encode()) if i in added else len(token)
 
         def joined(words: list[str]) -> list[bytes]:
             """Words that start with a blank stay apart when joined; their ids are cut where their bytes end."""
@@ -51,6 +65,24 @@ def text_encoder(path: str) -> tuple[Callable[[list], list[np.ndarray]], np.ndar
             encoded = tokenizer.encode_batch_fast(rest, add_special_tokens=False)
             out.update((w, np.array(e.ids, np.int32).tobytes()) for w, e in zip(rest, encoded, strict=True))
             return [out[w] for w in found]
-        _LOADED[path] = (ChunkEncoder(BYTE_LEVEL, pieces).encode, lengths)
-    encode, lengths = _LOADED[path]
+
+        encode_parts = ChunkEncoder(BYTE_LEVEL, pieces).encode
+
+        def encode_cut(texts: list[str | None]) -> list[bytes]:
+            """The texts with added tokens go in as several parts; their ids are put together again."""
+            if not at_added or not any(t and at_added.search(t) for t in texts):
+                return encode_parts(texts)
+            parts = [at_added.split(t or "") for t in texts]
+            found = iter(encode_parts([p for text in parts for p in text]))
+            out = []
+            for text, between in zip(texts, parts, strict=True):
+                ids = [next(found)]
+                for token in at_added.findall(text or ""):
+                    ids += [np.int32(cut[token]).tobytes(), next(found)]
+                assert len(ids) == 2 * len(between) - 1
+                out.append(b"".join(ids))
+            return out
+
+        _LOADED[path, special_tokens] = (encode_cut, lengths)
+    encode, lengths = _LOADED[path, special_tokens]
     return lambda texts: [np.frombuffer(ids, np.int32) for ids in encode(texts)], lengths

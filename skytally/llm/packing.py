@@ -148,14 +148,16 @@ def pack_documents(
     text_col: str = "text",
     rows: int = 256,
     with_ids: bool = False,
+    special_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece of a document: where it starts in its document, where it stands in its sequence, the
-    sequence's tier and step group. ``with_ids`` adds the piece's ids. ``tokenizer_path`` must be readable on every
+    sequence's tier and step group. ``with_ids`` adds the piece's ids; ``special_tokens`` is
+    that of ``hf_tokens.text_encoder``. ``tokenizer_path`` must be readable on every
     executor. A task holds the ids of its pool and of one open step group per tier."""
     names = [id_col, *(c.split()[0] for c in COLUMNS.split(", "))] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, _ = hf_tokens.text_encoder(tokenizer_path)
+        encode, _ = hf_tokens.text_encoder(tokenizer_path, special_tokens)
         base = TaskContext.get().partitionId() << 33
         packer, groups = Packer(tiers, pool_tokens), StepGroups(step_tokens)
         held: dict[int, list] = {}  # number of a document -> its id, its ids, tokens not yet placed

@@ -38,7 +38,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
+    return packing.pack_documents(_table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER, special_tokens=True)
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
-    return token_counts.count_section_tokens(documents, TOKENIZER)
+    return token_counts.count_section_tokens(documents, TOKENIZER, special_tokens=True)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

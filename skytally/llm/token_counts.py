@@ -90,15 +90,17 @@ def count_section_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     rows: int = 256,
+    special_tokens: bool = False,
 ) -> DataFrame:
     """One row per document and section: ``section`` (from 0), ``section_start``, ``section_end`` (characters),
-    ``n_tokens`` (double), ``n_crossing``, and ``doc_tokens`` of the whole document. No shuffle."""
+    ``n_tokens`` (double), ``n_crossing``, and ``doc_tokens`` of the whole document. ``special_tokens`` is that of
+    ``hf_tokens.text_encoder``. No shuffle."""
     if rule not in RULES:
         raise ValueError(f"the rule is one of {', '.join(RULES)}")
     names = [id_col, "section", "section_start", "section_end", "n_tokens", "n_crossing", "doc_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, byte_lengths = hf_tokens.text_encoder(tokenizer_path)
+        encode, byte_lengths = hf_tokens.text_encoder(tokenizer_path, special_tokens)
         cut = re.compile(separator)
         for batch in in_slices(batches, rows):
             texts = [t or "" for t in batch.column(1).to_pylist()]

@@ -11,7 +11,8 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from skytally.llm import byte_bpe, hf_tokens, packing, token_counts
+import corpus_pipeline
+from skytally.llm import byte_bpe, hf_tokens, packing, queries, token_counts
 from skytally.llm.pretokens import ChunkEncoder
 from skytally.llm.queries import RANKS, TOKENIZER
 
@@ -94,6 +95,36 @@ def test_library_encoder_and_spans(hf, odd):
         assert list(zip(*(x.tolist() for x in token_counts.token_spans(text, ids, lengths)), strict=True)) == whole.offsets
 
 
+def test_special_tokens_as_the_unchanged_library(docs, odd):
+    unchanged = Tokenizer.from_file(TOKENIZER)
+    end = "<|endoftext|>"
+    rng = random.Random(6)
+    texts = [t or "" for _, t in odd] + [end, end * 3, f"a {end} b", f"é  {end}\n\n ß{end}", "<|endof<|endoftext|>text|>", "<|endoftext"]
+    texts += ["".join(rng.choice(["a ", " b", "\n", "  ", "<|", "|>", "ß", end]) for _ in range(20)) for _ in range(300)]
+    encode, lengths = hf_tokens.text_encoder(TOKENIZER, True)
+    for text, ids in zip(texts, encode(texts), strict=True):
+        whole = unchanged.encode(text, add_special_tokens=False)
+        assert ids.tolist() == whole.ids
+        assert list(zip(*(x.tolist() for x in token_counts.token_spans(text, ids, lengths)), strict=True)) == whole.offsets
+    assert encode([None, end])[1].tolist() == [50256]
+    pairs = list(enumerate(texts))
+    check_packing(packing.pack_documents(docs(pairs), TOKENIZER, special_tokens=True).collect(), pairs, unchanged)
+    rows = token_counts.count_section_tokens(docs(pairs), TOKENIZER, special_tokens=True).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(unchanged.encode(t, add_special_tokens=False).ids) for i, t in pairs}
+
+
+def test_queries_give_ids_of_the_unchanged_library(spark, tmp_path):
+    unchanged = Tokenizer.from_file(TOKENIZER)
+    pairs = [(1, "one <|endoftext|> two"), (2, "<|endoftext|>\nthree"), (3, None)]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in pairs]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    check_packing(queries.op3_packing(spark, str(tmp_path)).collect(), pairs, unchanged)
+    check_packing(corpus_pipeline.pack(spark, df, str(tmp_path)).collect(), pairs, unchanged)
+    counts = {r.doc_id: r.doc_tokens for r in queries.op5_token_counts(spark, str(tmp_path)).collect()}
+    assert counts == {i: len(unchanged.encode(t or "", add_special_tokens=False).ids) for i, t in pairs}
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_section_counts_equal_brute_force(docs, odd, hf, rule):
     pairs = [*enumerate(random_texts(60, 5), 100), *odd[:4]]
