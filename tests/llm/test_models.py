@@ -112,6 +112,32 @@ def test_clauses_are_scored_apart():
     assert found.clauses("idiotic work, nothing else") == [] and found.clauses("") == []
 
 
+def test_threats_and_targets_on_either_side():
+    found = toxicity.Grammar({"idiot$": 4.0})
+    (threat,), (process,) = found.clauses("I will kill you"), found.clauses("kill the process")
+    assert threat == pytest.approx(0.5 * 1.2 * 1.3) and process == pytest.approx(0.5 * 0.3)
+    assert found.clauses("idiot, you there") == found.clauses("you idiot") == found.clauses("you idiot you") == pytest.approx([5.2])
+    assert found.clauses("such an idiot") == pytest.approx([4.8])
+    for text in ("he killed her", "ich werde dich töten", "je vais te tuer toi", "kills them"):
+        assert found.threatens(text) and found.clauses(text)
+    assert not found.threatens("kill the process. You") and not found.threatens("you skill")
+
+
+def test_the_weight_of_threats_is_learned(spark, docs):
+    """Toxic documents whose only evidence is a threat, among clean ones with the same verbs and the same targets."""
+    pairs, labels = toxic_corpus(600)
+    rng = random.Random(4)
+    for i in range(600, 1200):
+        plain = pairs[i - 600][1].replace("grobian", "gabobo").replace("kretsch", "gabobo")
+        toxic = i % 6 == 0
+        end = f" I will {rng.choice(['kill', 'hurt', 'destroy'])} you." if toxic else " we kill the process. Thank you."
+        pairs.append((i, plain + end))
+        labels.append((i, int(toxic)))
+    rows = toxicity.score_toxicity(docs(pairs), labels_of(spark, labels, "toxic")).collect()
+    truth = dict(labels)
+    assert np.mean([r.predicted == truth[r.doc_id] for r in rows if r.held_out and r.doc_id >= 600]) > 0.9
+
+
 def test_lexicon_prefers_the_longer_start():
     found = {"wor": (50, 1), "worthless$": (49, 0), "veq": (60, 0), "vequ": (30, 0), "vej": (2, 0)}
     assert set(toxicity.weigh_starts(found, 100, 900)) == {"worthless$", "veq", "vequ", "vej"}
