@@ -66,6 +66,13 @@ _THREAT = re.compile(
 )
 
 _CLAUSE = re.compile(r"[.!?;:\n|]+")
+
+
+def words_of(text: str) -> list[str]:
+    """The words of all clauses: a mark that ends a clause also ends a word, with or without a blank."""
+    return _CLAUSE.sub(" ", text).split()
+
+
 _BARE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -187,7 +194,7 @@ class Grammar:
         """Scores of the matched clauses, in order."""
         if len(self.seen) > self.REMEMBERED:
             self.seen.clear()
-        raw = text.split()
+        raw = words_of(text)
         for w in set(raw).difference(self.seen):
             self.seen[w] = self.symbol(w)
         if not any(self.seen[w][1] for w in set(raw)):
@@ -227,14 +234,14 @@ class Grammar:
         scores = self.clauses(text)
         if not scores:
             return np.array([1.0, 0.0, 0.0, 0.0])
-        words = len(text.split())
+        words = len(words_of(text))
         return np.array([1.0, max(scores), math.log1p(sum(scores)), math.log1p(100 * sum(scores) / words)])
 
 
 def word_starts(text: str) -> set[str]:
     """Starts of the text's words, and the whole words with an end mark."""
     out = set()
-    for word in {_BARE.sub("", w).lower() for w in set(text.split())}:
+    for word in {_BARE.sub("", w).lower() for w in set(words_of(text))}:
         out.update(word[:k] for k in range(2, min(len(word), 8) + 1))
         out.add(f"{word}$")
     return out

@@ -138,6 +138,13 @@ def test_the_weight_of_threats_is_learned(spark, docs):
     assert np.mean([r.predicted == truth[r.doc_id] for r in rows if r.held_out and r.doc_id >= 600]) > 0.9
 
 
+def test_words_behind_clause_marks_count_without_blanks():
+    found = toxicity.Grammar({"idiot$": 4.0})
+    for text in ("Shut up!idiot", "a|b|idiot", "fine:idiot", "one.idiot;two"):
+        assert found.clauses(text) == [4.0] and "idiot$" in toxicity.word_starts(text)
+    assert found.features("a|b|idiot").tolist() == found.features("a | b | idiot").tolist()
+
+
 def test_lexicon_prefers_the_longer_start():
     found = {"wor": (50, 1), "worthless$": (49, 0), "veq": (60, 0), "vequ": (30, 0), "vej": (2, 0)}
     assert set(toxicity.weigh_starts(found, 100, 900)) == {"worthless$", "veq", "vequ", "vej"}
