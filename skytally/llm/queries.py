@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skytally.llm import (
     block_naming,
     byte_bpe,
+    decontaminate,
     fingerprint,
     order_minhash,
     packing,
@@ -77,6 +78,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.find_contamination(documents, _table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.drop("items", "hit_share")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_byte_bpe": op2_byte_bpe,
@@ -88,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE: dict[str, str] = {
@@ -111,4 +119,41 @@ ORACLE: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(text) as text_sha256
         from texts join groups using (text)
     """,
+    "op13_decontamination": r"""
+        with worded as (
+            select row_number() over () as r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+            from documents
+        ),
+        items as (
+            select coalesce(item_id::varchar, '') as item, words, least(len(words), 10) as size from (
+                select item_id, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+                from benchmark)
+            where len(words) > 0
+        ),
+        owned as (
+            select distinct item, size, array_to_string(words[s:s + size - 1], ' ') as span
+            from (select *, unnest(range(1, len(words) - size + 2)) as s from items)
+        ),
+        sizes as (select distinct size from owned),
+        places as (
+            select r, size, s, array_to_string(words[s:s + size - 1], ' ') as span
+            from (select r, words, size, unnest(range(1, len(words) - size + 2)) as s from worded, sizes)
+        ),
+        met as (select r, s, places.size, span from places where span in (select span from owned)),
+        hits as (
+            select r, count(distinct p) as n_hit
+            from (select r, unnest(range(s, s + size)) as p from met) group by r
+        ),
+        listed as (
+            select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+            from (select distinct r, item from met join owned using (span)) group by r
+        )
+        select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+            sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from worded left join hits using (r) left join listed using (r)
+    """,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +33,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written once as Parquet to the shared folder and read from there. Unlike a checkpoint they are
+    compressed, and their size is known to whoever joins them."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(*tables: DataFrame) -> None:
+    """Delete the files of tables from ``stored`` that nothing reads any more."""
+    for table in tables:
+        jvm = table.sparkSession.sparkContext._jvm
+        conf = table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for file in table.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``."""
     for batch in batches:
