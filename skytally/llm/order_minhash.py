@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm.components import merge_labels
-from skytally.llm.shared import checkpointed, in_slices
+from skytally.llm.shared import checkpointed, in_slices, sorted_runs
 
 SHINGLE = 2
 SKETCHES = 64
@@ -315,7 +315,7 @@ def _possible_pairs(entries: DataFrame, similarity: float) -> DataFrame:
         return pairs[:, 0], pairs[:, 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, keys):
+        for group in sorted_runs(batches, keys):
             a, b = compare(group)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -323,27 +323,6 @@ def _possible_pairs(entries: DataFrame, similarity: float) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The rows of each run of equal keys, in sorted batches, as one table."""
-    held: list[pa.RecordBatch] = []
-    before = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in keys]
-        changes = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        cuts = [0, *changes.tolist(), batch.num_rows]
-        for start, end in zip(cuts, cuts[1:], strict=False):
-            key = tuple(c[start] for c in columns)
-            if held and key != before:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(start, end - start))
-            before = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _apart(pairs: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
     """The pairs of different classes that were not tested yet."""
     out = pairs.join(labels.select(F.col("node").alias("a"), F.col("label").alias("x")), "a").join(

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skytally.llm import (
     block_naming,
     byte_bpe,
     decontaminate,
     fingerprint,
+    merkle,
     order_minhash,
     packing,
     pii,
@@ -78,6 +80,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    seventh = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.build_manifest(documents, replaced={"n_chars": F.col("n_chars") + 1}, where=seventh)
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     found = decontaminate.find_contamination(documents, _table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -95,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_merkle": op12_merkle,
     "op13_decontamination": op13_decontamination,
 }
 

@@ -6,8 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -59,6 +60,48 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Recor
             yield batch.slice(at, rows)
 
 
+def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal integer keys, in sorted batches, as one table."""
+    held: list[pa.RecordBatch] = []
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        changes = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        cuts = [0, *changes.tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            key = tuple(c[start] for c in columns)
+            if held and key != before:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            before = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def task_count(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with its place in the whole order, from 0 on, as the column ``rank``.
+
+    Rows are range-partitioned and sorted, and written with the number of their partition and their number in it. What comes
+    before a partition is summed over one row per partition. ``order`` must be total, so that equal keys are dealt out, too.
+    """
+    tasks = task_count(df.sparkSession)
+    dealt = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    placed = stored(dealt.withColumn("place", F.monotonically_increasing_id()), name)
+    parts = placed.groupBy(F.shiftright("place", 33).alias("part")).agg(F.count("*").alias("rows"))
+    # One row per partition of the sort, however large the table is.
+    before = F.sum("rows").over(Window.orderBy("part")) - F.col("rows")
+    parts = parts.select("part", before.alias("before"))
+    numbered = placed.join(F.broadcast(parts), F.shiftright("place", 33) == F.col("part"))
+    return numbered.withColumn("rank", F.col("before") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).drop("place", "part", "before")
+
+
 def held_out(id_col: Column, folds: int, fold: int) -> Column:
     """Whether the CRC-32 of the id as text falls into the fold; a null id is in none."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == fold, F.lit(False))
