@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skytally.llm import (
     block_naming,
     byte_bpe,
+    conversation_repair,
     decontaminate,
     fingerprint,
     merkle,
@@ -80,6 +81,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
     seventh = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle": op12_merkle,
     "op13_decontamination": op13_decontamination,
 }

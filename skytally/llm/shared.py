@@ -94,12 +94,17 @@ def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     tasks = task_count(df.sparkSession)
     dealt = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     placed = stored(dealt.withColumn("place", F.monotonically_increasing_id()), name)
+    return numbered(placed).drop("place")
+
+
+def numbered(placed: DataFrame) -> DataFrame:
+    """Rows with a ``place`` (number of the partition, shifted by 33 bits, and gapless number in it) get their ``rank`` over all."""
     parts = placed.groupBy(F.shiftright("place", 33).alias("part")).agg(F.count("*").alias("rows"))
-    # One row per partition of the sort, however large the table is.
+    # One row per partition, however large the table is.
     before = F.sum("rows").over(Window.orderBy("part")) - F.col("rows")
-    parts = parts.select("part", before.alias("before"))
-    numbered = placed.join(F.broadcast(parts), F.shiftright("place", 33) == F.col("part"))
-    return numbered.withColumn("rank", F.col("before") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).drop("place", "part", "before")
+    parts = F.broadcast(parts.select("part", before.alias("before")))
+    joined = placed.join(parts, F.shiftright("place", 33) == F.col("part"))
+    return joined.withColumn("rank", F.col("before") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "before")
 
 
 def held_out(id_col: Column, folds: int, fold: int) -> Column:
