@@ -169,6 +169,10 @@ ROLLUP = f"""SELECT fl_year AS year, fl_month AS month, OP_CARRIER, ORIGIN, DEST
     {per_cause('sum({column}) AS {column}')}
     FROM flights GROUP BY fl_year, fl_month, OP_CARRIER, ORIGIN, DEST, CANCELLATION_CODE"""
 
+BAD_LINES = """SELECT OP_CARRIER || ', Inc.' AS OP_CARRIER, count(*) AS total_flights,
+    count(*) FILTER (day(FL_DATE) = 7) AS bad_lines, count(DEP_DELAY) FILTER (day(FL_DATE) IS DISTINCT FROM 7) AS known_delays
+    FROM flights GROUP BY OP_CARRIER"""
+
 
 def _select(sql: str) -> str:
     """A query on the flights; ``sql`` may open with further common table expressions."""
@@ -184,6 +188,20 @@ _BODIES = {
     "delay_by_carrier_from_lines": DELAY,
     "volume_by_carrier_from_lines": VOLUME,
     "cancel_reasons_from_lines": DECODED,
+    "delay_by_carrier_from_csv": DELAY,
+    "year_summary_from_csv": YEARS,
+    "bad_lines_from_csv": BAD_LINES,
+    "bad_lines_from_lines": BAD_LINES,
+    "published_avg_delay": DELAY,
+    "published_worst_airports": ALL_ORIGINS,
+    "published_monthly_trend": MONTHS,
+    "published_flight_rollup": ROLLUP,
+    "year_summary_landed": YEARS,
+    "flight_rollup_merged": ROLLUP,
+    "worst_flights_per_carrier": """SELECT FL_DATE, OP_CARRIER, ARR_DELAY, ORIGIN, DEST, DEP_DELAY,
+        CAST(row_number() OVER (PARTITION BY OP_CARRIER ORDER BY ARR_DELAY DESC, FL_DATE NULLS LAST, ORIGIN, DEST, DEP_DELAY)
+            AS INTEGER) AS rank
+        FROM flights WHERE ARR_DELAY IS NOT NULL QUALIFY rank <= 1200""",
     "cause_totals": TOTALS,
     "worst_origins": ORIGINS,
     "cancel_reasons": REASONS,

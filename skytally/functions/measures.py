@@ -87,3 +87,11 @@ def rollup_columns() -> list[Column]:
             f"max({delay}) {delayed} as {delay}_max",
         ]
     return [marked(F.count("*"), "n_flights")] + [F.expr(c) for c in columns + [f"sum({c}) as {c}" for c in CAUSES]]
+
+
+def merged_columns() -> dict[str, Column]:
+    """How the columns of several rollups become those of one, by name."""
+    out = {"n_flights": F.sum("n_flights"), "n_cancelled": F.sum("n_cancelled")}
+    for delay in DELAYS:
+        out |= {f"{delay}_n": F.sum(f"{delay}_n"), f"{delay}_sum": F.sum(f"{delay}_sum"), f"{delay}_max": F.max(f"{delay}_max")}
+    return out | {cause: F.sum(cause) for cause in CAUSES}

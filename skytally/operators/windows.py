@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from skytally.functions.columns import percent_change, percent_of
 
 
+_TASK = "__input_task"
+
+
 def top_k_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, *, rank: str = "rank"
 ) -> DataFrame:
@@ -17,8 +20,14 @@ def top_k_per_group(
 
     The filter sits directly on the rank, so Spark cuts every group to ``k`` rows in each task before the shuffle: a
     group that holds a third of the rows sends ``k`` rows per task, not its whole content. Spark does so up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); raise that setting for a larger ``k``.
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default). For a larger ``k``, groups are first cut to ``k`` rows of
+    every input task, in a shuffle by group and task, so no task sorts more of a group than one task has read.
     """
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        # A task that is run again has the same number, whatever the order of its rows.
+        parts = Window.partitionBy(*group, F.col(_TASK)).orderBy(*order)
+        cut = df.withColumn(_TASK, F.spark_partition_id()).withColumn(rank, F.row_number().over(parts))
+        df = cut.filter(F.col(rank) <= k).drop(_TASK, rank)
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
     return ranked.filter(F.col(rank) <= k)
 

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from skytally.functions.columns import CAUSES
 from skytally.plans import charts, reports
-from skytally.plans.rollup import rollup_flights
+from skytally.operators import top_k_per_group
+from skytally.plans.rollup import merge_rollups, rollup_flights
 from skytally.plans.sql_text import register_view, sql_on_view, sql_report
+from skytally.sinks.parquet import land_flights, publish_reports
+from skytally.sinks.workspace import working_folder
 from skytally.sources.binding import bind_flights
-from skytally.sources.csv_folder import parse_lines
+from skytally.sources.csv_folder import load_flight_lines, load_flights, parse_lines
+from skytally.sources.landed import read_landed
 from skytally.sources.schema import FLIGHT_COLUMNS
 
 CARRIER_DELAYS = ("OP_CARRIER", "ARR_DELAY")
@@ -27,6 +31,9 @@ HEADLINE = ("FL_DATE", "OP_CARRIER", "ORIGIN", "ARR_DELAY", "DEP_DELAY", *REASON
 # Routes of the order tables are thinner than real ones; the report's own default is 50.
 ROUTE_SUPPORT = 5
 PICKED_YEARS = (1997, 1998)
+LATER_YEAR = 1998
+BROKEN_DAY = 7
+WORST_FLIGHTS = 1200
 
 
 @dataclass(frozen=True)
@@ -51,16 +58,95 @@ class LineQuery:
     def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         flights = bind_flights(spark, sf_dir, dict.fromkeys(["FL_DATE", *self.columns]))
         header = F.lit(",".join(FLIGHT_COLUMNS))
-        values = [
-            F.concat(F.lit(" "), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(" ")) if c in flights.columns else F.lit("")
-            for c in FLIGHT_COLUMNS
-        ]
-        line = F.concat_ws(",", *values)
+        # Columns that are not asked for are empty; what stands between two others is one constant.
+        parts, between = [], ""
+        for i, c in enumerate(FLIGHT_COLUMNS):
+            between += "," if i else ""
+            if c in flights.columns:
+                parts += [F.lit(f"{between} "), F.coalesce(F.col(c).cast("string"), F.lit(""))]
+                between = " "
+        line = F.concat(*parts, F.lit(between))
         after = F.when(F.dayofmonth("FL_DATE") == 13, F.array(line, header)).otherwise(F.array(line))
         lines = flights.select(F.explode(after).alias("value"))
         return self.report(parse_lines(lines, list(FLIGHT_COLUMNS), columns=self.columns))
 
 
+@dataclass(frozen=True)
+class CsvQuery:
+    """A report by way of files: all flights, with all columns, are written as headed CSV files to the shared folder, a file
+    per task, and read back as any folder is, with the header found in it."""
+
+    report: Callable[[DataFrame], DataFrame]
+
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = working_folder(spark, "flights-csv")
+        bind_flights(spark, sf_dir).write.option("header", True).csv(folder)
+        return self.report(load_flights(spark, folder))
+
+
+@dataclass(frozen=True)
+class BadLinesQuery:
+    """How many lines per carrier do not parse, and how many of their departure delays do, by either way of reading. Before the
+    flights are written as CSV, those of one day of the month get a word for that delay, and carriers a comma, so quotes."""
+
+    load: Callable[..., DataFrame]
+
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, landed = working_folder(spark, "flights-csv"), working_folder(spark, "landed")
+        flights = bind_flights(spark, sf_dir)
+        broken = F.when(F.dayofmonth("FL_DATE") == BROKEN_DAY, F.lit("late")).otherwise(F.col("DEP_DELAY").cast("string"))
+        changed = flights.withColumns({"DEP_DELAY": broken, "OP_CARRIER": F.concat("OP_CARRIER", F.lit(", Inc."))})
+        changed.write.option("header", True).csv(folder)
+        # Bad lines are told when values are read, so the flights are landed first.
+        land_flights(self.load(spark, folder, keep_bad=True), landed)
+        return (
+            read_landed(spark, landed, keep_bad=True)
+            .groupBy("OP_CARRIER")
+            .agg(F.count("*").alias("total_flights"), F.count("_bad").alias("bad_lines"), F.count("DEP_DELAY").alias("known_delays"))
+        )
+
+
+@dataclass(frozen=True)
+class PublishedQuery:
+    """A published table: all default reports are written to the shared folder from one scan, and one is read back."""
+
+    table: str
+    staged: bool = False
+
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = working_folder(spark, "published")
+        publish_reports(bind_flights(spark, sf_dir), folder, staged=self.staged)
+        return spark.read.parquet(f"{folder}/{self.table}")
+
+
+@dataclass(frozen=True)
+class LandedQuery:
+    """A report on flights that were landed as Parquet in the shared folder: up to a year first, then the years from it on, which
+    replaces that year's rows and leaves the years before as they are."""
+
+    report: Callable[[DataFrame], DataFrame]
+
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = working_folder(spark, "landed")
+        flights = bind_flights(spark, sf_dir)
+        year = F.coalesce(F.year("FL_DATE"), F.lit(0))
+        land_flights(flights.filter(year <= LATER_YEAR), folder)
+        land_flights(flights.filter(year >= LATER_YEAR), folder, only_years_in_it=True)
+        return self.report(read_landed(spark, folder))
+
+
+def merged_rollup(flights: DataFrame) -> DataFrame:
+    """The rollup of all flights, merged from those of earlier and of later years."""
+    year = F.coalesce(F.year("FL_DATE"), F.lit(0))
+    return merge_rollups(rollup_flights(flights.filter(year < LATER_YEAR)), rollup_flights(flights.filter(year >= LATER_YEAR)))
+
+
+def worst_flights(flights: DataFrame) -> DataFrame:
+    """The flights with the longest arrival delays of every carrier, more than Spark cuts groups to by itself."""
+    order = [F.desc_nulls_last("ARR_DELAY"), *[F.asc_nulls_last(c) for c in ("FL_DATE", "ORIGIN", "DEST", "DEP_DELAY")]]
+    return top_k_per_group(flights.filter("ARR_DELAY is not null"), ["OP_CARRIER"], order, WORST_FLIGHTS)
+
+
 @dataclass(frozen=True)
 class ViewQuery:
     """A SQL text on the flights registered as a view."""
@@ -84,6 +170,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delay_by_carrier_from_lines": LineQuery(reports.delay_by_group, CARRIER_DELAYS),
     "volume_by_carrier_from_lines": LineQuery(lambda f: reports.volume_by_group(f, limit=10), ("OP_CARRIER",)),
     "cancel_reasons_from_lines": LineQuery(lambda f: reports.reason_counts(f, drop_blank=True, decode=True), REASON),
+    "delay_by_carrier_from_csv": CsvQuery(reports.delay_by_group),
+    "year_summary_from_csv": CsvQuery(reports.year_summary),
+    "bad_lines_from_csv": BadLinesQuery(load_flights),
+    "bad_lines_from_lines": BadLinesQuery(load_flight_lines),
+    "published_avg_delay": PublishedQuery("avg_delay"),
+    "published_worst_airports": PublishedQuery("worst_airports", staged=True),
+    "published_monthly_trend": PublishedQuery("monthly_trend"),
+    "published_flight_rollup": PublishedQuery("flight_rollup", staged=True),
+    "year_summary_landed": LandedQuery(reports.year_summary),
+    "flight_rollup_merged": FlightQuery(merged_rollup, FLIGHT_COLUMNS),
+    "worst_flights_per_carrier": FlightQuery(worst_flights, ("FL_DATE", *CARRIER_DELAYS, "ORIGIN", "DEST", "DEP_DELAY")),
     "cause_totals": FlightQuery(reports.cause_totals, tuple(CAUSES)),
     "worst_origins": FlightQuery(lambda f: reports.worst_groups(f, limit=10), ORIGIN_DELAYS),
     "cancel_reasons": FlightQuery(reports.reason_counts, REASON),

@@ -170,3 +170,28 @@ def test_quoted_header_and_empty_lines(spark, tmp_path, fixture_flights):
     for load in (load_flights, load_flight_lines):
         flights = load(spark, str(tmp_path))
         assert flights.count() == 11 and as_set(flights) == as_set(fixture_flights)
+
+
+ODD_LINES = """not a date,ZZ,9
+2018-02-30,YY,9,A,B,x,y,z
+2018-01-01,XX,9,A,B,1.0,2.0,0.0,,q,1.0,1.0,1.0,1.0,1.0,extra
+2018-01-01,"W,W",9,A,B,1.0,2.0,0.0
+2018-01-01,"W,V",9,A,B,zz,2.0,0.0,,q,,,,,
+"2018-01-01"," ""U"" ",9,A,"B",zz,2.0,0.0,,q,,,,,
+ , , , , , , , , , , , , , ,\x20
+2018-01-01,\tVV\t,9,A,B,NaN,Inf,Infinity,,q,1e3,0x1,1d,-,+1
+"""
+
+
+def test_both_ways_keep_the_same_bad_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n{ROWS_2017}{ODD_LINES}")
+    by_csv, by_lines = (load(spark, str(tmp_path), keep_bad=True) for load in (load_flights, load_flight_lines))
+    assert by_csv.columns == by_lines.columns
+    assert as_set(by_csv) == as_set(by_lines)
+    bad = {r._bad for r in by_lines.collect() if r._bad}
+    assert len(bad) == 6 and any("abc" in line for line in bad)
+
+
+def test_only_lines_with_quotes_go_through_the_parser(spark, fixture_folder):
+    plan = load_flight_lines(spark, fixture_folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1 and "Contains(value" in plan

@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from skytally import bind_flights, load_flights, read_landed, reports, rollup_flights
+from skytally.operators import top_k_per_group
 from skytally.plans.registry import QUERIES
 from skytally.sinks import land_flights
 
@@ -178,3 +180,17 @@ def test_hot_key_is_split(spark, no_broadcast, tmp_path):
     for i in range(300_000):
         want[f"B{(7 if i % 3 == 0 else i % 1000) % 4}"] += 1
     assert {r.OP_CARRIER: r.total_flights for r in rows} == want
+
+
+def test_large_k_sorts_no_whole_group(spark):
+    rows = spark.range(30_000, numPartitions=6).selectExpr("if(id % 3 = 0, 0, id % 40) as g", "id * 7919 % 10007 as v", "id")
+    best = top_k_per_group(rows, ["g"], [F.desc("v"), F.asc("id")], 2000)
+    plan = plan_of(best)
+    # First by group and task, then, from the rows that are left, by group.
+    assert len(re.findall(r"Exchange hashpartitioning\(g#\d+L?, __input_task#", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(g#", plan)) == 2
+    want = {}
+    for r in sorted(rows.collect(), key=lambda r: (-r.v, r.id)):
+        if len(group := want.setdefault(r.g, [])) < 2000:
+            group.append((r.g, r.v, r.id, len(group) + 1))
+    assert sorted(map(tuple, best.collect())) == sorted(x for group in want.values() for x in group)

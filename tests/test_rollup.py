@@ -2,7 +2,7 @@
 
 import pytest
 
-from skytally import bind_flights, reports, rollup_flights
+from skytally import bind_flights, merge_rollups, reports, rollup_flights
 from skytally.plans.charts import chart_frames, volume_in_millions, year_overview
 
 REPORTS = {
@@ -54,3 +54,27 @@ def test_charts(both):
     assert len(frames) == 10
     assert all(f.count() > 0 for name, f in frames.items() if name != "worst_origins")
     assert {r.year for r in frames["top_carriers"].collect()} == {1997, 1998}
+
+
+def test_merged_rollups_equal_one_of_all_flights(spark, tmp_path):
+    flights = bind_flights(spark, "/root/testdata/sf0.001")
+    stored = str(tmp_path / "old")
+    rollup_flights(flights.filter("year(FL_DATE) < 1997 or FL_DATE is null")).write.parquet(stored)
+    merged = merge_rollups(spark.read.parquet(stored), rollup_flights(flights.filter("year(FL_DATE) >= 1997 and ORIGIN <> 'CHINA'")),
+                           rollup_flights(flights.filter("year(FL_DATE) >= 1997 and ORIGIN = 'CHINA'")))
+    whole = rollup_flights(flights)
+    assert merged.schema.names == whole.schema.names
+    assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+    merged.write.parquet(str(tmp_path / "new"))
+    again = spark.read.parquet(str(tmp_path / "new"))
+    for report in (reports.delay_by_group, reports.year_summary, reports.headline_extremes, reports.cause_change):
+        assert report(again).collect() == report(flights).collect()
+
+
+def test_flights_and_other_keys_are_not_merged(fixture_flights):
+    rollup = rollup_flights(fixture_flights)
+    for wrong in (fixture_flights, rollup_flights(fixture_flights, ("year", "month")), rollup.withColumn("more", rollup.year)):
+        with pytest.raises(ValueError, match="same keys"):
+            merge_rollups(rollup, wrong)
+    with pytest.raises(ValueError, match="no rollup"):
+        merge_rollups()

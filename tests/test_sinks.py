@@ -1,6 +1,9 @@
 """Landing and publishing."""
 
+from datetime import date
+
 import pytest
+from pyspark.sql import functions as F
 
 from skytally import bind_flights, load_flights, publish_reports, read_landed, reports
 from skytally.sinks import land_flights
@@ -76,3 +79,39 @@ def test_nothing_is_written_if_a_report_has_no_plan(fixture_flights, tmp_path):
     with pytest.raises(ValueError, match="flight_rollup"):
         publish_reports(fixture_flights, str(tmp_path), {"flight_rollup": reports.monthly_trend})
     assert not list(tmp_path.iterdir())
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)): p.read_bytes() for p in folder.rglob("*.parquet")}
+
+
+def test_one_more_year_leaves_the_others_as_they_are(make_flights, spark, tmp_path):
+    first = make_flights(*[{"FL_DATE": date(y, 1, d), "ARR_DELAY": float(d)} for y in (2016, 2017) for d in (1, 2, 3)])
+    land_flights(first, str(tmp_path / "t"))
+    before = files_of(tmp_path / "t")
+    land_flights(make_flights({"FL_DATE": date(2017, 5, 1)}, {"FL_DATE": date(2018, 5, 1)}), str(tmp_path / "t"), only_years_in_it=True)
+    after = files_of(tmp_path / "t")
+    assert {n: b for n, b in after.items() if n.startswith("year=2016")} == {n: b for n, b in before.items() if n.startswith("year=2016")}
+    landed = read_landed(spark, str(tmp_path / "t"))
+    assert sorted(r.FL_DATE.year for r in landed.collect()) == [2016, 2016, 2016, 2017, 2018]
+    land_flights(first, str(tmp_path / "t"))
+    assert {r.year for r in read_landed(spark, str(tmp_path / "t")).collect()} == {2016, 2017}
+
+
+def test_staged_tables_replace_the_old_ones(spark, fixture_flights, tmp_path):
+    for flights in (fixture_flights.limit(3), fixture_flights):
+        publish_reports(flights, str(tmp_path), staged=True)
+    names = {p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")}
+    assert names == {"flight_rollup", "avg_delay", "worst_airports", "monthly_trend", "_PUBLISHED"}
+    published = spark.read.parquet(str(tmp_path / "avg_delay"))
+    assert sorted(published.collect()) == sorted(reports.delay_by_group(fixture_flights).collect())
+
+
+def test_a_run_that_dies_leaves_the_old_tables_whole(spark, fixture_flights, tmp_path):
+    publish_reports(fixture_flights, str(tmp_path), staged=True)
+    before = {n: b for n, b in files_of(tmp_path).items()}
+    dying = {"monthly_trend": reports.monthly_trend, "avg_delay": lambda f: reports.delay_by_group(f).withColumn("x", F.raise_error(F.lit("dies")))}
+    with pytest.raises(Exception, match="dies"):
+        publish_reports(fixture_flights.limit(2), str(tmp_path), dying, staged=True)
+    left = {n: b for n, b in files_of(tmp_path).items() if not n.startswith("_staging")}
+    assert left == before and (tmp_path / "_PUBLISHED").exists()
