@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.shared import checkpointed
+from skytally.llm.shared import stored
 
 
 def merge_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -16,11 +16,11 @@ def merge_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
     ends = edges.join(labels.select(F.col("node").alias("a"), F.col("label").alias("x")), "a").join(
         labels.select(F.col("node").alias("b"), F.col("label").alias("y")), "b"
     )
-    links = checkpointed(ends.filter("x != y").select("x", "y").distinct())
+    links = stored(ends.filter("x != y").select("x", "y").distinct(), "links")
     if links.isEmpty():
         return labels
     # The map from labels to labels is found over the labels alone, then applied to the nodes once.
-    both = checkpointed(links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))))
+    both = stored(links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))), "both-ways")
     lead = both.groupBy("x").agg(F.min(F.least("x", "y")).alias("to"))
     while True:
         around = (
@@ -33,9 +33,9 @@ def merge_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
         moved = near.join(jump, "next", "left").select(
             "x", F.least("next", F.coalesce("further", "next")).alias("to"), F.col("to").alias("before")
         )
-        moved = checkpointed(moved)
+        moved = stored(moved, "moved-labels")
         lead = moved.select("x", "to")
         if moved.filter("to != before").isEmpty():
             break
     out = labels.join(lead.withColumnRenamed("x", "label"), "label", "left")
-    return checkpointed(out.select("node", F.coalesce("to", "label").alias("label")))
+    return stored(out.select("node", F.coalesce("to", "label").alias("label")), "labels")

@@ -15,20 +15,19 @@ the longer text (edit similarity of 0.8 or more). Classes are the connected comp
 
 No bucket is expanded into all its pairs. Members are first compared with the lead that they meet most often, then with the
 least and the greatest node of their buckets, across classes only. Buckets whose members all have one class are done. In the
-others all pairs of different classes are looked at, block by block: their lengths and word counts bound their distance, and
-pairs that may still be near are aligned, each once. So every link between texts that share a bucket counts. There is no cap
+others, the members outside the largest class are looked at against all members of other classes, block by block: their lengths
+and word counts bound their distance, and pairs that may still be near are aligned, each once. So every link between texts that share a bucket counts. There is no cap
 on buckets, partners or candidates.
 
 Equal texts are one node and never compared. A null text is empty. Texts without words are near to their copies only. Rows
 that repeat an id are rows of their own; a null id is larger than no other, so it names a class only where all ids are
-null. Extra columns are ignored. What is reused is checkpointed.
+null. Extra columns are ignored. What is reused is written to the shared folder, and deleted there once nothing needs it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm.components import merge_labels
-from skytally.llm.shared import checkpointed, in_slices, sorted_runs
+from skytally.llm.shared import drop_stored, in_slices, sorted_runs, stored, task_count
 
 SHINGLE = 2
 SKETCHES = 64
@@ -47,9 +46,11 @@ TAKEN = 3
 # Pairs whose longer text has at most so many words are found by equal parts instead of sketches.
 SHORT = 20
 
-# Classes of the word counts that bound distances, and members of a block of a large bucket.
+# Classes of the word counts that bound distances, coarse and fine, and members of a block of a large bucket.
 COUNTED = 128
+FINE = 4096
 BLOCK = 1000
+BLOCK_CHARS = 1 << 24
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _WORDS: dict[str, int] = {}
@@ -74,6 +75,23 @@ def word_counts(words: np.ndarray) -> bytes:
     return np.minimum(np.bincount((words >> np.uint64(1)).astype(np.int64) % COUNTED, minlength=COUNTED), 255).astype(np.uint8).tobytes()
 
 
+def word_bits(words: np.ndarray) -> bytes:
+    """How many words fall into each of ``FINE`` classes, modulo 4: two bits each. Counts differ by their distance on the circle of
+    four at least, which is a finer bound for texts of any length."""
+    counts = np.bincount((words >> np.uint64(1)).astype(np.int64) % FINE, minlength=FINE) % 4
+    return (counts.reshape(-1, 4) << np.array([0, 2, 4, 6])).sum(axis=1).astype(np.uint8).tobytes()
+
+
+def _circle_distances() -> np.ndarray:
+    """For any two bytes of ``word_bits``, the sum of the distances of their four counts."""
+    counts = np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3
+    apart = (counts[:, None, :] - counts[None, :, :]) % 4
+    return np.minimum(apart, 4 - apart).sum(axis=2).astype(np.uint8)
+
+
+_APART = _circle_distances()
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -166,7 +184,7 @@ def edit_similarity(left: np.ndarray, right: np.ndarray, least: float) -> float:
 
     The distance is that of single-word insertions, deletions and replacements. Bounds that need no alignment come first:
     the lengths, and the words that only one side has. Then the sequences are aligned in the band of diagonals that the
-    allowed distance can reach: diagonal by diagonal for few edits, row by row where more are allowed and needed.
+    allowed distance can reach.
     """
     longer = max(len(left), len(right))
     if not longer:
@@ -187,89 +205,98 @@ def edit_similarity(left: np.ndarray, right: np.ndarray, least: float) -> float:
     differs = np.flatnonzero(a[::-1][:same] != b[::-1][:same])
     tail = int(differs[0]) if len(differs) else same
     a, b = a[: len(a) - tail], b[: len(b) - tail]
-    few = min(allowed, FEW_EDITS)
-    distance = _furthest_reaching(a, b, few)
-    if distance > few < allowed:
-        distance = _banded_distance(a, b, allowed)
+    distance = banded_distance(a, b, allowed)
     return 1 - distance / longer if distance <= allowed else 0.0
 
 
-# Up to so many edits, going along diagonals costs less than going through all rows of the band.
-FEW_EDITS = 100
+def banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """The edit distance where it is at most ``band``; otherwise ``band + 1``.
 
-
-def _furthest_reaching(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """The edit distance where it is at most ``most``; otherwise ``most + 1``.
-
-    For 0, 1, 2, ... edits it keeps how far into ``a`` each diagonal of the band can be followed. On a diagonal, equal words
-    cost nothing, so the next stop is its next mismatch.
+    The band goes down the matrix one column after the other. Of a column, the cells differ from those above them by 1, 0 or -1,
+    so the whole column is two bit vectors (where it goes up, where it goes down), whole numbers in Python; bit ``t`` of column
+    ``j`` is row ``j - band + t``. A column follows from the one before by a dozen operations on these numbers. Only the lowest
+    diagonal of the band is counted, and then, once it has reached the last row, that row.
     """
+    if len(a) < len(b):
+        a, b = b, a
     n, m = len(a), len(b)
-    goal, stops = m - n, {}
-
-    def slide(diagonal: int, i: int) -> int:
-        if diagonal not in stops:
-            low, high = max(0, -diagonal), min(n, m - diagonal)
-            differs = np.flatnonzero(a[low:high] != b[low + diagonal : high + diagonal]) + low
-            # Short lists are searched faster; long texts need the room.
-            stops[diagonal] = [*differs.tolist(), high] if n < 2000 else np.append(differs, high).astype(np.int32)
-        found = stops[diagonal]
-        return int(found[min(bisect_left(found, i), len(found) - 1)])
-
-    reach = {0: slide(0, 0)}
-    for edits in range(most + 1):
-        if reach.get(goal, -1) >= n:
-            return edits
-        ahead = {}
-        for d in range(max(-edits - 1, -n), min(edits + 1, m) + 1):
-            i = max(reach.get(d, -2) + 1, reach.get(d - 1, -2), reach.get(d + 1, -2) + 1)
-            if i >= max(0, -d):
-                ahead[d] = slide(d, min(i, n, m - d))
-        reach = ahead
-    return most + 1
-
-
-def _banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """The edit distance where it is at most ``band``; any larger number otherwise."""
-    if abs(len(a) - len(b)) > band:
+    if n - m > band:
         return band + 1
+    if not m:
+        return n
+    band = min(band, n)
+    found: dict[int, int] = {}
+    for place, word in enumerate(a.tolist()):
+        found[word] = found.get(word, 0) | 1 << place
     width = 2 * band + 1
-    shift = np.arange(width)
-    over = 10**9
-    # Cell i, d of the band stands for a[:i] against b[:i + d - band].
-    padded = np.concatenate([np.full(band + 1, -1), b, np.full(band + 1 + max(0, len(a) - len(b)), -1)])
-    row = np.where((shift >= band) & (shift - band <= len(b)), shift - band, over)
-    for i in range(1, len(a) + 1):
-        replaced = row + (padded[i : i + width] != a[i - 1])
-        deleted = np.append(row[1:], over) + 1
-        row = np.minimum(replaced, deleted)
-        at = i + shift - band
-        row[(at < 0) | (at > len(b))] = over
-        if at[0] <= 0 <= at[-1]:
-            row[band - i] = i
-        # Insertions run along the row: each cell is the least of those left of it plus their distance.
-        row = np.minimum.accumulate(row - shift) + shift
-        row[at > len(b)] = over
-        if row.min() > band:
-            return band + 1
-    return int(row[len(b) - len(a) + band])
+    every, top = (1 << width) - 1, 1 << (width - 1)
+    up, down, distance = every ^ ((1 << band) - 1), 0, band
+    # The last row is reached in column n - band; no column behind it can take more than a step per column off.
+    bound = band + m - (n - band)
+    steps = b.tolist()
+    for j in range(n - band):
+        places = found.get(steps[j], 0)
+        equal = (places >> (j - band) if j >= band else places << (band - j)) & every
+        same = ((((equal & up) + up) ^ up) | equal | down) & every
+        right_up = down | (every ^ (same | up))
+        right_down = same & up
+        if not same & top:
+            distance += 1
+            if distance > bound:
+                return band + 1
+        same >>= 1
+        up, down = right_down | (every ^ (same | right_up)), same & right_up
+    last = top >> 1
+    for j in range(n - band, m):
+        places = found.get(steps[j], 0)
+        equal = (places >> (j - band) if j >= band else places << (band - j)) & every
+        same = ((((equal & up) + up) ^ up) | equal | down) & every
+        right_up = down | (every ^ (same | up))
+        right_down = same & up
+        distance += bool(right_up & last) - bool(right_down & last)
+        last >>= 1
+        same >>= 1
+        up, down = right_down | (every ^ (same | right_up)), same & right_up
+    return min(distance, band + 1)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (``a``, ``b``) whose texts are similar enough. Pairs are spread evenly before they are aligned."""
-    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Those of the pairs (``a``, ``b``) whose texts are similar enough.
+
+    Nodes are dealt into blocks of about ``BLOCK`` nodes and of bounded length, and pairs meet in a group per two blocks. A text
+    is sent once to every group that has a pair of it, not once per pair, and aligned there as word hashes.
+    """
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    total = ends.join(texts, "node").agg(F.count("*").alias("nodes"), F.sum(F.length("text")).alias("chars")).first()
+    blocks = max(1, -(-total.nodes // BLOCK), -(-(total.chars or 0) // BLOCK_CHARS))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    keys = ["low", "high"]
+    placed = pairs.select(
+        F.least(place("a"), place("b")).alias("low"), F.greatest(place("a"), place("b")).alias("high"), "a", "b"
+    )
+    wanted = placed.select(*keys, F.col("a").alias("node")).unionByName(placed.select(*keys, F.col("b").alias("node")))
+    sent = wanted.distinct().join(texts.select("node", "text"), "node")
+    both = sent.select(*keys, "node", "text", F.lit(None).cast("long").alias("b")).unionByName(
+        placed.select(*keys, F.col("a").alias("node"), F.lit(None).cast("string").alias("text"), "b")
+    )
+    # Texts come before the pairs of their group.
+    dealt = both.repartition(task_count(pairs.sparkSession), *keys).sortWithinPartitions(*keys, F.asc_nulls_first("b"))
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, words = None, {}
         for batch in in_slices(batches, 256):
-            words = [[word_hashes(t) for t in batch.column(c).to_pylist()] for c in ("left", "right")]
-            near = [edit_similarity(x, y, similarity) >= similarity for x, y in zip(*words, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+            near = []
+            for low, high, node, text, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (low, high) != group:
+                    group, words = (low, high), {}
+                if other is None:
+                    words[node] = word_hashes(text)
+                elif edit_similarity(words[node], words[other], similarity) >= similarity:
+                    near.append((node, other))
+            found = np.array(near, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
-    with_texts = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b"
-    )
-    spread = with_texts.select("a", "b", "left", "right").repartition(tasks, "a", "b")
-    return checkpointed(spread.mapInArrow(align, "a long, b long"))
+    return stored(dealt.mapInArrow(align, "a long, b long"), "near-pairs")
 
 
 def _bounded(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -277,48 +304,75 @@ def _bounded(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.filter(F.least("n", "m") >= F.greatest("n", "m") * similarity - 1e-6)
 
 
-def _possible_pairs(entries: DataFrame, similarity: float) -> DataFrame:
+def _signed(texts: DataFrame) -> DataFrame:
+    """Nodes with what bounds their distances."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, 256):
+            words = [word_hashes(t) for t in batch.column("text").to_pylist()]
+            columns = [pa.array([make(w) for w in words], pa.binary()) for make in (word_counts, word_bits)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], ["node", "word_counts", "word_bits"])
+
+    return texts.select("node", "text").mapInArrow(sign, "node long, word_counts binary, word_bits binary")
+
+
+def _possible_pairs(entries: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Pairs of different classes in one bucket that lengths and word counts leave possible.
 
-    A bucket of any size is cut into blocks of about ``BLOCK`` members, and every two blocks meet in a group of their own, so
-    no group grows with its bucket. Inside a group the bounds of all pairs are taken as arrays; a pair leaves it only if it
-    may still be near. ``entries``: ``v``, ``blocks`` of the bucket, ``node``, ``label``, ``n_words``, ``word_counts``.
+    The members of a bucket outside its largest class are its stragglers. Only they are looked at against all members: a bucket
+    is cut into blocks of about ``BLOCK`` members and its stragglers into blocks of the same size, and every two blocks meet in a
+    group of their own. So members of a large class stay in one place where few stragglers visit them, and no group grows with
+    its bucket. Inside a group the bounds of all pairs are taken as arrays; a pair leaves it only if it may still be near.
+    ``entries``: ``v``, ``node``, ``label``, ``n_words``.
     """
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = entries.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ["v", "low", "high"]
-    dealt = dealt.select(
-        "v", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "label",
-        "n_words", "word_counts",
+    sizes = entries.groupBy("v", "label").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("v").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"),
+        F.count("*").alias("classes"),
     )
-    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = dealt.repartition(tasks, *keys).sortWithinPartitions(*keys)
-
-    def compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        mine, node, label, n = (table.column(c).to_numpy() for c in ("mine", "node", "label", "n_words"))
-        counts = np.frombuffer(b"".join(table.column("word_counts").to_pylist()), np.uint8).reshape(len(node), -1).astype(np.int16)
-        one = table.column("low")[0].as_py() == table.column("high")[0].as_py()
-        left = np.arange(len(node)) if one else np.flatnonzero(mine == mine.min())
-        right = left if one else np.flatnonzero(mine != mine.min())
-        out = []
-        for i in left:
-            ahead = right[right > i] if one else right
-            longer = np.maximum(n[i], n[ahead])
-            ahead = ahead[(label[ahead] != label[i]) & (np.minimum(n[i], n[ahead]) >= longer * similarity - 1e-6)]
-            if len(ahead):
-                # An edit changes two counts by one at most; so does the difference of lengths.
-                apart = np.abs(counts[ahead] - counts[i]).sum(axis=1, dtype=np.int64)
-                least = (apart + np.abs(n[ahead] - n[i])) / 2
-                ahead = ahead[least <= (1 - similarity) * np.maximum(n[i], n[ahead]) + 1e-6]
-                out += [(min(node[i], x), max(node[i], x)) for x in node[ahead].tolist()]
-        pairs = np.array(out, np.int64).reshape(-1, 2)
-        return pairs[:, 0], pairs[:, 1]
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = mixed.filter("classes > 1").select(
+        "v", "main", blocks(F.col("n")).alias("blocks"), blocks(F.col("n") - F.col("most")).alias("visits")
+    )
+    members = stored(entries.join(mixed, "v"), "bucket-members")
+    strays = (F.col("label") != F.col("main")).alias("strays")
+    place = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    visit = F.pmod(F.xxhash64("node", F.lit(1)), F.col("visits")).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    at_home = members.select("v", place.alias("block"), upto("visits").alias("visit"), F.lit(False).alias("visits"), strays, "node", "label", "n_words")
+    visitors = members.filter("label != main").select(
+        "v", upto("blocks").alias("block"), visit.alias("visit"), F.lit(True).alias("visits"), F.lit(True).alias("strays"), "node", "label", "n_words",
+    )
+    signed = _signed(texts.join(members.select("node").distinct(), "node"))
+    dealt = at_home.unionByName(visitors).join(stored(signed, "signed-nodes"), "node")
+    keys = ["v", "block", "visit"]
+    grouped = dealt.repartition(task_count(entries.sparkSession), *keys).sortWithinPartitions(*keys)
+
+    def compare(table: pa.Table) -> list[tuple[int, int]]:
+        node, label, n, visits, strays = (table.column(c).to_numpy() for c in ("node", "label", "n_words", "visits", "strays"))
+        coarse, fine = (
+            np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(len(node), -1) for c in ("word_counts", "word_bits")
+        )
+        coarse = coarse.astype(np.int16)
+        home, out = np.flatnonzero(~visits), []
+        for i in np.flatnonzero(visits):
+            # Two stragglers meet in the blocks of both; one of the times counts.
+            other = home[(label[home] != label[i]) & (~strays[home] | (node[home] > node[i]))]
+            longer = np.maximum(n[i], n[other])
+            other = other[np.minimum(n[i], n[other]) >= longer * similarity - 1e-6]
+            for bound in (lambda o, i=i: np.abs(coarse[o] - coarse[i]), lambda o, i=i: _APART[fine[i][None, :], fine[o]]):
+                if len(other):
+                    # An edit changes two counts by one at most; so does the difference of lengths.
+                    least = (bound(other).sum(axis=1, dtype=np.int64) + np.abs(n[other] - n[i])) / 2
+                    other = other[least <= (1 - similarity) * np.maximum(n[i], n[other]) + 1e-6]
+            out += [(min(node[i], x), max(node[i], x)) for x in node[other].tolist()]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_runs(batches, keys):
-            a, b = compare(group)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            pairs = np.array(compare(group), np.int64).reshape(-1, 2)
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return grouped.mapInArrow(run, "a long, b long")
 
@@ -356,30 +410,29 @@ def find_near_duplicates(
                     pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
                     pa.array([len(w) for w in words], pa.int32()),
                     pa.array(found, pa.list_(pa.int64())),
-                    pa.array([word_counts(w) for w in words], pa.binary()),
                 ],
-                ["id", "text_key", "n_words", "sketches", "word_counts"],
+                ["id", "text_key", "n_words", "sketches"],
             )
 
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sketched = checkpointed(
-        rows.mapInArrow(sketch_all, f"id {kind}, text_key binary, n_words int, sketches array<bigint>, word_counts binary")
+    sketched = stored(
+        rows.mapInArrow(sketch_all, f"id {kind}, text_key binary, n_words int, sketches array<bigint>"), "sketched"
     )
     # One node per different text: copies meet by their digest, one row per task and text before the shuffle.
-    nodes = checkpointed(
+    nodes = stored(
         sketched.groupBy("text_key")
         .agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"),
-             F.max("sketches").alias("sketches"), F.max("word_counts").alias("word_counts"))
-        .withColumn("node", F.monotonically_increasing_id())
+             F.max("sketches").alias("sketches"))
+        .withColumn("node", F.monotonically_increasing_id()), "nodes"
     )
 
-    # Buckets with more than one node; each entry keeps the bucket's least and greatest node.
+    # Buckets with more than one node, with the least and the greatest.
     entries = nodes.filter("n_words > 0").select("node", "n_words", F.explode("sketches").alias("v"))
     shared = entries.groupBy("v").agg(F.count("*").alias("members"), F.min("node").alias("lo"), F.max("node").alias("hi"))
-    shared = checkpointed(shared.filter("members > 1").drop("members"))
-    entries = checkpointed(entries.join(shared, "v"))
-    members = checkpointed(entries.select("node", "n_words").distinct())
+    shared = stored(shared.filter("members > 1").drop("members"), "buckets")
+    entries = stored(entries.join(shared.select("v"), "v"), "bucket-entries")
+    members = stored(entries.select("node", "n_words").distinct(), "members")
     wanted = nodes.join(members.select("node"), "node", "left_semi").select("node", "text_key", "first_id")
     keyed = rows.select("id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.sha2("text", 256)))
     # Of several rows with the text, only those with its least id are fetched, and one of these is kept.
@@ -389,38 +442,37 @@ def find_near_duplicates(
         .groupBy("node")
         .agg(F.min("text").alias("text"))
     )
-    texts = checkpointed(texts)
-    labels = checkpointed(members.select("node", F.col("node").alias("label")))
+    texts = stored(texts, "texts")
+    labels = stored(members.select("node", F.col("node").alias("label")), "labels")
 
     # Every member of a bucket with its least and greatest node, and in how many buckets they meet.
     leads = F.explode(F.array("lo", "hi")).alias("lead")
-    stars = entries.select("node", "n_words", leads).filter("node != lead").groupBy("node", "lead", F.col("n_words").alias("n"))
+    stars = entries.join(shared, "v").select("node", "n_words", leads).filter("node != lead").groupBy("node", "lead", F.col("n_words").alias("n"))
     stars = stars.agg(F.count("*").alias("times")).join(
         members.select(F.col("node").alias("lead"), F.col("n_words").alias("m")), "lead"
     )
-    stars = checkpointed(
-        _bounded(stars, similarity).select("node", "times", F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
-    )
+    stars = _bounded(stars, similarity).select("node", "times", F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
+    stars = stored(stars, "stars")
     # First the lead that a node meets in most buckets: one pair per node ties most classes together.
     often = stars.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("times", F.negative("a"))).alias("pair"))
-    tested = checkpointed(often.select("pair.a", "pair.b").distinct())
+    tested = stored(often.select("pair.a", "pair.b").distinct(), "first-pairs")
     labels = merge_labels(labels, _verify(tested, texts, similarity))
-    pairs = checkpointed(_apart(stars.select("a", "b").distinct(), labels, tested))
+    pairs = stored(_apart(stars.select("a", "b").distinct(), labels, tested), "further-pairs")
+    drop_stored(stars)
     labels = merge_labels(labels, _verify(pairs, texts, similarity))
     tested = tested.unionByName(pairs)
 
     # What is left: pairs of different classes in one bucket.
-    labelled = entries.select("v", "node", "n_words").join(labels, "node")
-    mixed = labelled.groupBy("v").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
-    mixed = mixed.filter("x != y").select("v", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    open_ = labelled.join(mixed, "v").join(nodes.select("node", "word_counts"), "node")
-    rest = _possible_pairs(open_, similarity).distinct().join(tested, ["a", "b"], "left_anti")
-    labels = merge_labels(labels, _verify(checkpointed(rest), texts, similarity))
-
-    classed = checkpointed(
+    labelled = entries.join(labels, "node")
+    rest = _possible_pairs(labelled, texts, similarity).distinct().join(tested, ["a", "b"], "left_anti")
+    labels = merge_labels(labels, _verify(stored(rest, "last-pairs"), texts, similarity))
+    drop_stored(entries, texts)
+
+    classed = stored(
         nodes.join(labels, "node", "left").select(
             "text_key", "node", "first_id", "copies", F.coalesce("label", "node").alias("label")
-        )
+        ),
+        "classed",
     )
     classes = classed.groupBy("label").agg(
         F.min("first_id").alias("class_id"),
@@ -428,7 +480,8 @@ def find_near_duplicates(
         F.count("*").alias("class_texts"),
         F.min_by("node", F.struct("first_id", "text_key")).alias("lead"),
     )
-    placed = checkpointed(classed.join(classes, "label"))
+    placed = stored(classed.join(classes, "label"), "placed")
+    drop_stored(classed, nodes)
     out = sketched.select("id", "text_key").join(placed, "text_key")
     return out.select(
         "id", F.lower(F.hex("text_key")).alias("text_key"), "class_id", "class_size", "class_texts",

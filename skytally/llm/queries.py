@@ -72,8 +72,9 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = order_minhash.find_near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select(
-        found.id.alias("doc_id"), "class_id", "class_size", "class_texts", (found.id == found.class_id).alias("kept")
-    )
+        found.id.alias("doc_id"), "class_id", "class_size", "class_texts",
+        (found.leads & found.id.eqNullSafe(found.class_id)).alias("kept"),
+    )
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

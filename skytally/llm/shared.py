@@ -118,8 +118,9 @@ def training_sample(
     """Texts with labels to learn from, and the number of labelled rows per class.
 
     At most ``per_class`` rows of either class, those whose ids have the smallest hashes, from the rows outside the
-    held-out fold. A document with several labels has the one that most of them give, 1 at a draw. Columns ``text`` and
-    ``y``.
+    held-out fold. A document with several labels has the one that most of them give, 1 at a draw; one with several rows
+    has the text with the least hash. So there are at most ``2 * per_class`` rows, whatever repeats. Columns ``doc_id``,
+    ``text`` and ``y``.
     """
     usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold))
     given = usable.groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y"))
@@ -135,4 +136,7 @@ def training_sample(
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most 2 * per_class ids: small enough to broadcast whatever the size of the tables.
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), counts
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    # An id may stand on any number of rows: one of its texts is taken, by partial minima, before anything is counted.
+    one = found.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return one.select("doc_id", F.col("least.text").alias("text"), "y"), counts
