@@ -224,3 +224,23 @@ def test_whole_documents_stay_whole_where_they_fit():
     assert all(len([p for s in closed for p in s if p[0] == d]) == 1 for d in range(5))
     with pytest.raises(ValueError, match="powers"):
         packing.Packer((3,))
+
+
+def test_ids_equal_the_unchanged_library():
+    library = Tokenizer.from_file(queries.TOKENIZER)
+    encode, _ = hf_tokens.text_encoder(queries.TOKENIZER, True)
+    rng = random.Random(3)
+    kinds = [lambda: rng.randrange(32, 0x250), lambda: rng.randrange(0x250, 0xD7FF), lambda: rng.randrange(0xE000, 0x1FFFF)]
+    blanks = [32, 10, 9, 0x85, 0xA0, 0x2028, 0x200B, 0x1C, 39, 115, 116]
+    texts = ["".join(chr(rng.choice([rng.choice(kinds)(), rng.choice(blanks)])) for _ in range(rng.randrange(60))) for _ in range(5000)]
+    texts += ["\n" * 100_000, " " * 1500 + "a", " " * 999 + "a", "x" * 50_000, "é" * 20_000, "a<|endoftext|>b<|endoftext|>", "", "I'LL we'll 's"]
+    for text, ids in zip(texts, encode(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_ranks_need_ids_in_the_order_of_merges():
+    letters = hf_tokens.byte_letters()
+    model = {"type": "BPE", "vocab": dict(letters) | {"ab": 256, "abc": 257}, "merges": ["a b", "ab c"]}
+    assert hf_tokens.merge_ranks(model, set())[b"abc"] == 257
+    for change in ({"merges": ["ab c", "a b"]}, {"merges": ["a b"]}, {"dropout": 0.1}, {"type": "Unigram"}, {"ignore_merges": True}):
+        assert hf_tokens.merge_ranks(model | change, set()) is None
