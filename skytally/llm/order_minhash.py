@@ -310,10 +310,12 @@ def _signed(texts: DataFrame) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 256):
             words = [word_hashes(t) for t in batch.column("text").to_pylist()]
-            columns = [pa.array([make(w) for w in words], pa.binary()) for make in (word_counts, word_bits)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), *columns], ["node", "word_counts", "word_bits"])
+            signs = [pa.array([make(w) for w in words], pa.binary()) for make in (word_counts, word_bits)]
+            columns = [batch.column("node"), batch.column("buckets"), *signs]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "buckets", "word_counts", "word_bits"])
 
-    return texts.select("node", "text").mapInArrow(sign, "node long, word_counts binary, word_bits binary")
+    schema = "node long, buckets array<long>, word_counts binary, word_bits binary"
+    return texts.select("node", "buckets", "text").mapInArrow(sign, schema)
 
 
 def _possible_pairs(entries: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -343,7 +345,9 @@ def _possible_pairs(entries: DataFrame, texts: DataFrame, similarity: float) ->
     visitors = members.filter("label != main").select(
         "v", upto("blocks").alias("block"), visit.alias("visit"), F.lit(True).alias("visits"), F.lit(True).alias("strays"), "node", "label", "n_words",
     )
-    signed = _signed(texts.join(members.select("node").distinct(), "node"))
+    # The buckets of a node that are looked into: two nodes that share several are compared in the least of them only.
+    mine = members.groupBy("node").agg(F.collect_set("v").alias("buckets"))
+    signed = _signed(texts.join(mine, "node"))
     dealt = at_home.unionByName(visitors).join(stored(signed, "signed-nodes"), "node")
     keys = ["v", "block", "visit"]
     grouped = dealt.repartition(task_count(entries.sparkSession), *keys).sortWithinPartitions(*keys)
@@ -353,7 +357,8 @@ def _possible_pairs(entries: DataFrame, texts: DataFrame, similarity: float) ->
         coarse, fine = (
             np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8).reshape(len(node), -1) for c in ("word_counts", "word_bits")
         )
-        coarse = coarse.astype(np.int16)
+        coarse, here = coarse.astype(np.int16), table.column("v")[0].as_py()
+        buckets = [frozenset(b) for b in table.column("buckets").to_pylist()]
         home, out = np.flatnonzero(~visits), []
         for i in np.flatnonzero(visits):
             # Two stragglers meet in the blocks of both; one of the times counts.
@@ -365,7 +370,7 @@ def _possible_pairs(entries: DataFrame, texts: DataFrame, similarity: float) ->
                     # An edit changes two counts by one at most; so does the difference of lengths.
                     least = (bound(other).sum(axis=1, dtype=np.int64) + np.abs(n[other] - n[i])) / 2
                     other = other[least <= (1 - similarity) * np.maximum(n[i], n[other]) + 1e-6]
-            out += [(min(node[i], x), max(node[i], x)) for x in node[other].tolist()]
+            out += [(min(node[i], node[j]), max(node[i], node[j])) for j in other.tolist() if min(buckets[i] & buckets[j]) == here]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,8 +441,9 @@ def find_near_duplicates(
     wanted = nodes.join(members.select("node"), "node", "left_semi").select("node", "text_key", "first_id")
     keyed = rows.select("id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.sha2("text", 256)))
     # Of several rows with the text, only those with its least id are fetched, and one of these is kept.
+    # What is wanted grows with the documents, so it is not broadcast, however small it is.
     texts = (
-        keyed.join(wanted, "text_key")
+        keyed.join(wanted.hint("merge"), "text_key")
         .filter(F.col("id").eqNullSafe(F.col("first_id")))
         .groupBy("node")
         .agg(F.min("text").alias("text"))

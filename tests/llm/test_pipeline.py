@@ -17,7 +17,7 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("sf_dir", [SF001, "/root/testdata/sf0.01"])
 def test_query_matches_oracle(spark, name, sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     want = con.execute(queries.ORACLE[name])
     names = sorted(d[0] for d in want.description)
