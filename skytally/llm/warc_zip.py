@@ -230,10 +230,12 @@ def write_archives(
     warc_bytes: int = 64 << 20,
     archive_bytes: int = 1 << 30,
     always64: bool = False,
+    date: str = "1970-01-01T00:00:00Z",
 ) -> DataFrame:
     """Writes the rows of ``mark_revisits`` into archives below ``folder``; returns a row per archive: ``archive`` and
     ``size``. Archives of lost or repeated tasks are never listed: each attempt writes under a name of its own, and the
-    rows are checkpointed. A task holds one WARC file of about ``warc_bytes``."""
+    rows are checkpointed. A task holds one WARC file of about ``warc_bytes``. Every record has the ``date``; it is fixed unless
+    given, so that equal rows give equal records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = open_store(folder)
@@ -271,6 +273,7 @@ def write_archives(
                 headers = {
                     "WARC-Type": "response" if row["refers_to"] is None else "revisit",
                     "WARC-Record-ID": f"<urn:page:{row['id']}>",
+                    "WARC-Date": date,
                     "WARC-Target-URI": (row["url"] or "").replace("\r", "%0D").replace("\n", "%0A"),
                     "WARC-Payload-Digest": f"sha256:{row['digest']}",
                     "Content-Type": "application/http;msgtype=response",

@@ -1,5 +1,6 @@
 """ZIP archives of WARC records: round trips, other readers, and brute force."""
 
+import gzip
 import hashlib
 import io
 import random
@@ -128,3 +129,19 @@ def test_small_parts_and_payloads(spark, tmp_path):
         text = pages[int(r.record_id)][2].encode()
         assert r.url == f"http://h/{r.record_id}" and r.payload_bytes == len(text)
         assert (r.payload is None) == (r.record_type == "revisit") and (r.payload is None or bytes(r.payload) == text)
+
+
+def test_records_have_the_mandatory_fields(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 200), (2, None, "x" * 200), (3, "http://b/", None)], "page_id long, url string, html string")
+    marked = warc_zip.mark_revisits(pages, id_col="page_id", payload_col="html")
+    written = warc_zip.write_archives(marked, str(tmp_path), id_col="page_id", url_col="url", payload_col="html", date="2020-02-03T04:05:06Z")
+    found = 0
+    for row in written.collect():
+        with zipfile.ZipFile(row.archive.removeprefix("file:")) as archive:
+            for name in archive.namelist():
+                if name.endswith(".warc.gz"):
+                    data = gzip.decompress(archive.read(name))
+                    found += data.count(b"WARC/1.1\r\n")
+                    for field in (b"WARC-Type: ", b"WARC-Record-ID: <", b"WARC-Date: 2020-02-03T04:05:06Z\r\n", b"Content-Length: "):
+                        assert data.count(b"\r\n" + field) >= data.count(b"WARC/1.1\r\n")
+    assert found == 3
