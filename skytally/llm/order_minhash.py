@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytally.llm.components import merge_labels
-from skytally.llm.shared import drop_stored, in_slices, sorted_runs, stored, task_count
+from skytally.llm.shared import bucketed, drop_bucketed, drop_stored, in_slices, sorted_runs, stored, task_count
 
 SHINGLE = 2
 SKETCHES = 64
@@ -267,7 +267,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     is sent once to every group that has a pair of it, not once per pair, and aligned there as word hashes.
     """
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    total = ends.join(texts, "node").agg(F.count("*").alias("nodes"), F.sum(F.length("text")).alias("chars")).first()
+    total = ends.join(texts, "node").agg(F.count("*").alias("nodes"), F.sum("chars").alias("chars")).first()
     blocks = max(1, -(-total.nodes // BLOCK), -(-(total.chars or 0) // BLOCK_CHARS))
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
     keys = ["low", "high"]
@@ -442,13 +442,15 @@ def find_near_duplicates(
     keyed = rows.select("id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.sha2("text", 256)))
     # Of several rows with the text, only those with its least id are fetched, and one of these is kept.
     # What is wanted grows with the documents, so it is not broadcast, however small it is.
+    # Texts are joined by node several times from here on: they are dealt by it once.
     texts = (
         keyed.join(wanted.hint("merge"), "text_key")
         .filter(F.col("id").eqNullSafe(F.col("first_id")))
         .groupBy("node")
         .agg(F.min("text").alias("text"))
+        .withColumn("chars", F.length("text"))
     )
-    texts = stored(texts, "texts")
+    texts, texts_name = bucketed(texts, "texts", "node")
     labels = stored(members.select("node", F.col("node").alias("label")), "labels")
 
     # Every member of a bucket with its least and greatest node, and in how many buckets they meet.
@@ -472,7 +474,8 @@ def find_near_duplicates(
     labelled = entries.join(labels, "node")
     rest = _possible_pairs(labelled, texts, similarity).distinct().join(tested, ["a", "b"], "left_anti")
     labels = merge_labels(labels, _verify(stored(rest, "last-pairs"), texts, similarity))
-    drop_stored(entries, texts)
+    drop_stored(entries)
+    drop_bucketed(texts, texts_name)
 
     classed = stored(
         nodes.join(labels, "node", "left").select(

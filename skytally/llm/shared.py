@@ -43,6 +43,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> tuple[DataFrame, str]:
+    """Like ``stored``, but dealt by ``key`` into as many buckets as shuffles have partitions, so that joins on the key shuffle only
+    their other side. Also the name under which the session's catalog knows the table, for ``drop_bucketed``."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{table}"
+    df.write.option("compression", "zstd").option("path", path).bucketBy(task_count(spark), key).saveAsTable(table)
+    return spark.table(table), table
+
+
+def drop_bucketed(df: DataFrame, table: str) -> None:
+    """Delete a table from ``bucketed`` that nothing reads any more, with its files."""
+    drop_stored(df)
+    df.sparkSession.sql(f"drop table if exists {table}")
+
+
 def drop_stored(*tables: DataFrame) -> None:
     """Delete the files of tables from ``stored`` that nothing reads any more."""
     for table in tables:

@@ -3,6 +3,8 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow.dataset as ds
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skytally.llm import block_naming, fingerprint, order_minhash
 from skytally.llm.components import merge_labels
+from skytally.llm.shared import bucketed, drop_bucketed
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -220,6 +223,18 @@ def test_a_chain_in_one_bucket_is_one_class(docs):
     assert near_classes(docs(pairs)) == brute_classes(pairs) == sorted(str((i, 0, 12)) for i in range(12))
 
 
+def test_bucketed_tables_are_joined_without_a_shuffle(spark):
+    table, name = bucketed(spark.range(100).withColumnRenamed("id", "node"), "numbers", "node")
+    other = spark.range(50).select((F.col("id") * 2).alias("node")).hint("merge")
+    joined = table.join(other, "node")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and joined.count() == 50
+    files = table.inputFiles()
+    drop_bucketed(table, name)
+    assert files and not spark.catalog.tableExists(name)
+    assert not any(Path(urlparse(f).path).exists() for f in files)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)]
