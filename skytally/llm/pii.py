@@ -1,18 +1,24 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
 The patterns find e-mail addresses, IP addresses, card numbers and phone numbers; what they find stays. The field adds
-mentions that the patterns miss because part of them is missing, for example a phone number repeated without its prefix.
+mentions that the patterns miss because a part is missing or wrong: a phone number without its prefix, a card number with a
+wrong digit, an address written with ``(at)``.
 
-Its nodes are the tokens with a digit or ``@``; all other tokens are outside. Tokens in a pattern's span are observed. Three
-kinds of potentials, trained piecewise on a bounded share of the documents, tie the nodes:
+Its nodes are the pattern's spans, which are observed, and whatever else could be a mention: groups of digits, words around
+``@`` or ``(at)``, and words that equal the first part of an address in the same document. The potentials:
 
-- the shape of a token with its label,
-- the labels of neighbouring tokens (the chain),
-- the labels of tokens with the same letters and digits, or whose last seven digits agree, however far apart (skip
-  edges: each mention to the one before it and to the first one).
+- the form of a node (digits, groups and last separator; for addresses, whether the first part has a digit or mark). The form leaves
+  out what a pattern demands, such as the prefix of a phone number or the check digit, so that it says how
+  often things that look like this are mentions;
+- the word before it, hashed to ``CUES`` places;
+- the labels of neighbours in the text (the chain), limited to ``CHAIN``, so that neighbours alone decide nothing;
+- agreement of nodes with equal content, with a part in common (last seven digits, first part of an address) or one edit apart,
+  however far apart in the document (skip edges: each node to the one before it and to the first one).
 
-Loopy message passing makes labels agree across the document. A token is added where its marginal for a kind is at least
-``certainty`` and a skip path of mentions leads to an observed token of that kind; neighbouring ones make one span.
+All are counted on all documents, with the patterns' labels. Forms, places of words and labels bound the number of counts,
+whatever the size of the table. Loopy message passing makes labels agree across a document. A node is added where its marginal
+for a kind is at least ``certainty``. A document without a span of the patterns and without a node that is likelier a mention
+than not by itself gets none.
 
 A null text is empty. Rows are read apart, so repeated rows get equal results, and an empty table gives an empty one. Extra
 columns are ignored.
@@ -20,8 +26,10 @@ columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
+import math
 import re
+import zlib
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,15 +49,27 @@ PATTERNS = {
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_COMPILED = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
-# A card needs 16 digits: shorter runs are passed over without a match object each.
-_TOKEN = re.compile(r"\S*[0-9@]\S*")
+# No address starts inside a run of digits that fails from its start; to say so keeps long runs linear.
+_COMPILED = {kind: re.compile(r"(?<![0-9])" * (kind == "ip") + pattern) for kind, pattern in PATTERNS.items()}
+_LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]")
 LABELS = len(KINDS) + 1  # 0 is outside
 
-# The documents that potentials are counted on, as an expected number.
-SAMPLE = 20_000
-SHAPES = 20_000
+CUES = 1024
+CHAIN = 1.0
+EDGES = ("equal", "part", "near")  # kinds of skip edges
+
+_NUMBER = re.compile(r"(?<![\w@])[+(]?[0-9](?:[\x20().-]{0,2}[0-9])*(?![\w@])")
+_AT = re.compile(r"@|[\[(]\s?at\s?[\])]", re.IGNORECASE)
+_HOST = re.compile(r"[\w-]+(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)[\w-]+)*", re.IGNORECASE)
+_DOT = re.compile(r"\s?[\[(]\s?dot\s?[\])]\s?", re.IGNORECASE)
+_GROUP = re.compile(r"[0-9]+")
+_WORD = re.compile(r"[\w%+-]+(?:\.[\w%+-]+)*")
+_MARKED = re.compile(r"\w[._+-]\w|[0-9]")
+_LOCAL = frozenset("._%+-")
+_SEPARATORS = " ().-"
+_MAIL, _HANDLE = 10_000, 10_002
 
 
 def passes_luhn(digits: str) -> bool:
@@ -71,87 +91,191 @@ def _valid(kind: str, found: str) -> bool:
     return 8 <= len(digits) <= 15
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """What the e-mail pattern finds from left to right: the run before an ``@`` that a domain follows. Linear in long words."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in _LOCAL_PART:
+            start -= 1
+        domain = _DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            done = domain.end()
+            yield start, done
+        at = text.find("@", max(at + 1, done))
+
+
 def pattern_spans(text: str) -> list[tuple[str, int, int]]:
     """Kind, start and end (characters) of what the patterns find, by kind and start."""
     out = []
     for kind in KINDS:
-        if (kind == "email" and "@" not in text) or (kind == "phone" and "+" not in text):
-            continue
-        out += [(kind, *m.span()) for m in _COMPILED[kind].finditer(text) if _valid(kind, m.group())]
+        if kind == "email":
+            out += [(kind, start, end) for start, end in _addresses(text)]
+        elif kind != "phone" or "+" in text:
+            out += [(kind, *m.span()) for m in _COMPILED[kind].finditer(text) if _valid(kind, m.group())]
     return out
 
 
 @dataclass(frozen=True)
-class Token:
+class Node:
     start: int
     end: int
-    place: int  # number of white space runs before it, to see which tokens are neighbours
-    core: str
-    shape: str
-    label: int  # of the pattern's span that it meets, or -1
-
-
-def tokens_of(text: str, spans: list[tuple[str, int, int]]) -> list[Token]:
-    """The tokens that are nodes."""
-    bounds = sorted((start, end, KINDS.index(kind) + 1) for kind, start, end in spans)
-    out, at, place, end_before = [], 0, 0, 0
-    for m in _TOKEN.finditer(text):
-        start, end = m.span()
-        word = m.group()
-        # Marks around the letters and digits are not part of a mention.
-        inner = [i for i, c in enumerate(word) if c.isalnum()]
-        if not inner:
-            continue
-        first, last = inner[0], inner[-1] + 1
-        place += 1 if not text[end_before:start].strip() else 2
-        end_before = end
-        while at < len(bounds) and bounds[at][1] <= start:
-            at += 1
-        label = next((k for s, e, k in bounds[at : at + 4] if s < end and e > start), -1)
-        bare = word[first:last]
-        core = "".join(c for c in bare.lower() if c.isalnum())
-        shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", lambda d: f"9{min(20, len(d.group()))}", bare))
-        out.append(Token(start + first, start + last, place, core, shape[:40], label))
-    return out
-
-
-def edges_of(tokens: list[Token]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges and skip edges, as pairs of node numbers."""
-    chain = [(i, i + 1) for i in range(len(tokens) - 1) if tokens[i + 1].place == tokens[i].place + 1]
-    skip: set[tuple[int, int]] = set()
-    first: dict[str, int] = {}
-    before: dict[str, int] = {}
-    for i, t in enumerate(tokens):
-        digits = "".join(c for c in t.core if c.isdigit())
-        keys = [t.core] if len(t.core) >= 3 else []
-        if len(digits) >= 7:
-            keys.append(f"#{digits[-7:]}")
-        for key in keys:
+    label: int  # of the pattern that found it, or -1
+    form: int
+    cue: int  # place of the word before it, or -1
+    keys: tuple[tuple[str, str], ...]  # nodes with a key in common are joined by a skip edge
+
+
+def _number(text: str, start: int, end: int) -> tuple[int, tuple[tuple[str, str], ...]]:
+    """Form and keys of a number. The form has the digits (21 for more than any kind has), the groups (5 for more) and the
+    separator before the last group, without the first group where that is a prefix with ``+``."""
+    found = text[start:end]
+    groups = _GROUP.findall(found)
+    digits = "".join(groups)
+    keys = [("equal", digits)] if len(digits) >= 5 else []
+    if len(digits) >= 7:
+        keys.append(("part", digits[-7:]))
+    if 7 <= len(digits) <= 20:
+        # Two numbers one edit apart have one of these in common.
+        keys += [("near", d) for d in {digits, *(digits[:i] + digits[i + 1 :] for i in range(len(digits)))}]
+    own = groups[1:] if found[0] == "+" and len(groups) > 1 else groups
+    before = found[: len(found) - len(groups[-1])][-1:] if len(own) > 1 else ""
+    separator = 1 + _SEPARATORS.index(before) if before in _SEPARATORS and before else 0
+    size = sum(map(len, own))
+    return min(size, 21) * 100 + min(len(own), 5) * 10 + separator, tuple(keys)
+
+
+def _mail(text: str, start: int, end: int) -> tuple[int, tuple[tuple[str, str], ...]]:
+    """Form and keys of an address, however its marks are written."""
+    plain = "".join(_DOT.sub(".", _AT.sub("@", text[start:end].lower())).split())
+    local = plain.split("@")[0]
+    marked = _MARKED.search(local) is not None
+    keys = [("equal", plain)]
+    if marked and len(local) >= 5:
+        keys.append(("part", local))
+    return _MAIL + marked, tuple(keys)
+
+
+def _mails(text: str) -> list[tuple[int, int]]:
+    """Where words stand on both sides of ``@`` or ``(at)``, which may have a blank beside it."""
+    found: list[tuple[int, int]] = []
+    if "@" not in text and "(" not in text and "[" not in text:
+        return found
+    for m in _AT.finditer(text):
+        first, host = m.span()
+        if m.group() != "@":
+            first -= text[first - 1 : first] == " "
+            host += text[host : host + 1] == " "
+        end = first
+        while first > 0 and (text[first - 1].isalnum() or text[first - 1] in _LOCAL):
+            first -= 1
+        after = _HOST.match(text, host)
+        if after and first < end and (not found or found[-1][1] <= first):
+            found.append((first, after.end()))
+    return found
+
+
+def _cue(text: str, start: int) -> int:
+    at = start
+    while at > 0 and not text[at - 1].isalnum() and text[at - 1] != "\n":
+        at -= 1
+    first = at
+    while first > 0 and text[first - 1].isalpha():
+        first -= 1
+    return zlib.crc32(text[first:at].lower().encode("utf-8", "surrogatepass")) % CUES if first < at else -1
+
+
+def nodes_of(text: str, spans: list[tuple[str, int, int]]) -> list[Node]:
+    """The nodes of a document in the order of the text."""
+    found = [(start, end, KINDS.index(kind) + 1, kind == "email") for kind, start, end in spans]
+    gaps, at = [], 0
+    for _, start, end in sorted(spans, key=lambda s: s[1:]):
+        if start > at:
+            gaps.append((at, start))
+        at = max(at, end)
+    gaps.append((at, len(text)))
+    mails = []
+    for start, end in _mails(text):
+        low, high = gaps[max(0, bisect(gaps, (start, len(text))) - 1)]
+        if low <= start and end <= high:
+            mails.append((start, end))
+    found += [(start, end, -1, True) for start, end in mails]
+    nodes = []
+    for start, end, label, is_mail in found:
+        form, keys = (_mail if is_mail else _number)(text, start, end)
+        nodes.append(Node(start, end, label, form, _cue(text, start), keys))
+    nodes.sort(key=lambda n: (n.start, n.end))
+    parts = {key for n in nodes if n.form >= _MAIL for kind, key in n.keys if kind == "part"}
+    if parts:
+        bounds, at = [(n.start, n.end) for n in nodes], 0
+        for m in _WORD.finditer(text):
+            if m.group().lower() not in parts:
+                continue
+            while at < len(bounds) and bounds[at][1] <= m.start():
+                at += 1
+            if at == len(bounds) or bounds[at][0] >= m.end():
+                nodes.append(Node(*m.span(), -1, _HANDLE, _cue(text, m.start()), (("part", m.group().lower()),)))
+    words = iter([*sorted((n.start, n.end) for n in nodes if n.label < 0), (len(text) + 1, len(text) + 1)])
+    word = next(words)
+    for low, high in gaps:
+        for m in _NUMBER.finditer(text, low, high):
+            start, end = m.span()
+            if text[start] == "(" and ")" not in text[start:end]:
+                start += 1
+            while word[1] <= start:
+                word = next(words)
+            if end <= word[0]:
+                form, keys = _number(text, start, end)
+                nodes.append(Node(start, end, -1, form, _cue(text, start), keys))
+    nodes.sort(key=lambda n: (n.start, n.end))
+    return nodes
+
+
+def edges_of(text: str, nodes: list[Node]) -> tuple[list[tuple[int, int]], dict[tuple[int, int], int]]:
+    """Chain edges (at most three blanks between two nodes), and skip edges with the number of their kind, closest kind first."""
+    chain = [
+        (i, i + 1)
+        for i, (a, b) in enumerate(zip(nodes, nodes[1:], strict=False))
+        if len(text[a.end : b.start].split(None, 4)) <= 3
+    ]
+    skip: dict[tuple[int, int], int] = {}
+    first: dict[tuple[str, str], int] = {}
+    before: dict[tuple[str, str], int] = {}
+    for i, node in enumerate(nodes):
+        for key in node.keys:
+            kind = EDGES.index(key[0])
             if key in before:
-                skip.update({(before[key], i), (first[key], i)})
+                for j in {before[key], first[key]}:
+                    skip[j, i] = min(skip.get((j, i), kind), kind)
             first.setdefault(key, i)
             before[key] = i
-    return chain, sorted(skip.difference(chain))
+    return chain, skip
 
 
 @dataclass(frozen=True)
 class SkipChain:
     """Trained potentials, as logarithms."""
 
-    shapes: dict[str, np.ndarray]
+    forms: dict[int, np.ndarray]
     other: np.ndarray
+    cues: dict[int, np.ndarray]
     chain: np.ndarray
-    skip: np.ndarray
-
-    def marginals(self, tokens: list[Token], chain, skip, *, rounds: int = 20, damping: float = 0.3) -> np.ndarray:
+    skip: np.ndarray  # a table per kind of edge
+
+    def unary(self, nodes: list[Node]) -> np.ndarray:
+        none = np.zeros(LABELS)
+        out = np.array([self.forms.get(n.form, self.other) + self.cues.get(n.cue, none) for n in nodes])
+        for i, n in enumerate(nodes):
+            if n.label >= 0:
+                out[i] = -50.0
+                out[i, n.label] = 0.0
+        return out
+
+    def marginals(self, unary: np.ndarray, chain, skip, *, rounds: int = 20, damping: float = 0.3) -> np.ndarray:
         """Label probabilities of every node by loopy message passing; observed nodes keep their label."""
-        unary = np.array([self.shapes.get(t.shape, self.other) for t in tokens])
-        for i, t in enumerate(tokens):
-            if t.label >= 0:
-                unary[i] = -50.0
-                unary[i, t.label] = 0.0
         pairs = np.array([*chain, *skip], int).reshape(-1, 2)
-        tables = np.concatenate([np.repeat(self.chain[None], len(chain), 0), np.repeat(self.skip[None], len(skip), 0)])
+        tables = np.concatenate([np.repeat(self.chain[None], len(chain), 0), self.skip[np.array(list(skip.values()), int)]])
         source, target = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]])
         tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))])
@@ -163,7 +287,7 @@ class SkipChain:
             top = out.max(axis=1, keepdims=True)
             new = (top + np.log(np.exp(out - top).sum(axis=1, keepdims=True)))[:, 0, :]
             new -= new.max(axis=1, keepdims=True)
-            if len(new) and np.abs(new - messages).max() < 1e-4:
+            if not len(new) or np.abs(new - messages).max() < 1e-4:
                 break
             messages = damping * messages + (1 - damping) * new
         belief = unary.copy()
@@ -173,94 +297,113 @@ class SkipChain:
 
     def add_spans(self, text: str, spans: list[tuple[str, int, int]], certainty: float) -> list[tuple[str, int, int]]:
         """The pattern's spans with those of further mentions, by kind and start."""
-        if not spans:
+        nodes = nodes_of(text, spans)
+        open_ = [i for i, n in enumerate(nodes) if n.label < 0]
+        if not open_:
             return spans
-        tokens = tokens_of(text, spans)
-        if all(t.label >= 0 for t in tokens):
+        unary = self.unary(nodes)
+        if not spans and not (unary[:, 1:].max(axis=1) > unary[:, 0]).any():
             return spans
-        chain, skip = edges_of(tokens)
-        # Labels of observed mentions, carried along skip edges; edges run from left to right.
-        reached: list[set[int]] = [{t.label} if t.label > 0 else set() for t in tokens]
-        for sweep in (skip, reversed(skip)):
-            for i, j in sweep:
-                both = reached[i] | reached[j]
-                reached[i], reached[j] = set(both), set(both)
-        free = [i for i, t in enumerate(tokens) if t.label < 0 and reached[i]]
-        if not free:
-            return spans
-        probability = self.marginals(tokens, chain, skip)
-        added: list[list] = []
-        for i in free:
+        probability = self.marginals(unary, *edges_of(text, nodes))
+        added = []
+        for i in open_:
             label = int(probability[i].argmax())
-            if label in reached[i] and probability[i, label] >= certainty:
-                t, kind = tokens[i], KINDS[label - 1]
-                near = added[-1] if added else None
-                if near and near[0] == kind and near[3] + 1 == t.place and not text[near[2] : t.start].strip(" ().-"):
-                    near[2], near[3] = t.end, t.place
-                else:
-                    added.append([kind, t.start, t.end, t.place])
-        both = [*spans, *((kind, start, end) for kind, start, end, _ in added)]
-        return sorted(both, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
-
-
-def train(documents: DataFrame, *, sample: int = SAMPLE, shapes: int = SHAPES) -> SkipChain:
-    """Potentials from the labels that the patterns give, counted by the executors on about ``sample`` documents, chosen by
-    a hash of their text. At most ``shapes`` counts come to the driver. Shapes get the log share of each label; edges the
-    log of how much more often two labels meet than by chance."""
-    total = documents.count()
-    share = min(1.0, sample / max(1, total))
+            if label and probability[i, label] >= certainty:
+                added.append((KINDS[label - 1], nodes[i].start, nodes[i].end))
+        return sorted([*spans, *added], key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+
+
+FORM_COUNT, CUE_COUNT, CHAIN_COUNT, SKIP_COUNT = range(4)
+
+
+def _counts(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """What one document adds to the counts: which one, its key and two labels."""
+    nodes = nodes_of(text, pattern_spans(text))
+    chain, skip = edges_of(text, nodes)
+    # What shares content with an observed node has no label to learn from: that is what the field decides.
+    linked = {j for (a, b), kind in skip.items() if kind < 2 for i, j in ((a, b), (b, a)) if nodes[i].label > 0 > nodes[j].label}
+    labels = [max(0, n.label) for n in nodes]
+    for i, n in enumerate(nodes):
+        if i not in linked and n.form != _HANDLE:
+            yield FORM_COUNT, n.form, labels[i], 0
+            if n.cue >= 0:
+                yield CUE_COUNT, n.cue, labels[i], 0
+    for i, j in chain:
+        if i not in linked and j not in linked:
+            yield CHAIN_COUNT, 0, labels[i], labels[j]
+    for (i, j), kind in skip.items():
+        if i not in linked and j not in linked:
+            yield SKIP_COUNT, kind, labels[i], labels[j]
+
+
+def potentials(counted) -> SkipChain:
+    """The model of counts: rows of ``part``, ``key``, ``x``, ``y`` and ``n``. Forms get the log share of each label; words what they
+    change in it, chains how much more often two labels meet than by chance, skip edges the log odds of agreement. What
+    nothing is known of is taken to be outside at 10 to 1, and what shares content to agree at 6 to 1."""
+    prior = np.array([1.0, *[0.1] * len(KINDS)])
+    forms: dict[int, np.ndarray] = {}
+    cues: dict[int, np.ndarray] = {}
+    chain = np.full((LABELS, LABELS), 0.5)
+    agree, differ = np.full(len(EDGES), 3.0), np.full(len(EDGES), 0.5)
+    total = prior.copy()
+    for row in counted:
+        if row.part == FORM_COUNT:
+            forms.setdefault(row["key"], prior.copy())[row.x] += row.n
+        elif row.part == CUE_COUNT:
+            cues.setdefault(row["key"], np.zeros(LABELS))[row.x] += row.n
+            total[row.x] += row.n
+        elif row.part == CHAIN_COUNT:
+            chain[row.x, row.y] += row.n
+            chain[row.y, row.x] += row.n
+        elif row.x == row.y:
+            agree[row["key"]] += row.n
+        else:
+            differ[row["key"]] += row.n
+    share = total / total.sum()
+    # Twenty sightings at the usual shares stand against what a word's place has seen.
+    changed = {k: np.log((n + 20 * share) / (n.sum() + 20)) - np.log(share) for k, n in cues.items()}
+    chain /= chain.sum()
+    meet = np.log(chain) - np.log(chain.sum(axis=1))[:, None] - np.log(chain.sum(axis=0))[None, :]
+    skip = np.array([np.eye(LABELS) * math.log(a / d) for a, d in zip(agree, differ, strict=True)])
+    logs = {form: np.log(n / n.sum()) for form, n in forms.items()}
+    # A word that equals the first part of an address has no label to learn from: it is outside or that address, evenly.
+    handle = np.full(LABELS, 0.01)
+    handle[[0, 1 + KINDS.index("email")]] = 0.5
+    logs[_HANDLE] = np.log(handle / handle.sum())
+    return SkipChain(logs, np.log(prior / prior.sum()), changed, np.clip(meet, -CHAIN, CHAIN), skip)
+
+
+def train(documents: DataFrame) -> SkipChain:
+    """Potentials from the labels that the patterns give on all rows of ``text``, counted by the executors. What comes to the driver
+    is at most a count per form, place of a word or kind of edge, and pair of labels: below 15,000 rows for any table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
         for batch in in_slices(batches, 512):
-            found: Counter = Counter()
             for text in batch.column(0).to_pylist():
-                tokens = tokens_of(text or "", pattern_spans(text or ""))
-                chain, skip = edges_of(tokens)
-                # A further mention of an observed one has no label to learn from: that is what the field decides.
-                open_ = {j for e in skip for i, j in (e, e[::-1]) if tokens[i].label > 0 > tokens[j].label}
-                labels = [max(0, t.label) for t in tokens]
-                found.update(("shape", t.shape, labels[i], 0) for i, t in enumerate(tokens) if i not in open_)
-                for part, edges in (("chain", chain), ("skip", skip)):
-                    found.update((part, "", labels[i], labels[j]) for i, j in edges if open_.isdisjoint((i, j)))
-            keys = list(found)
-            if keys:
-                columns = [pa.array(c) for c in zip(*keys, strict=True)]
-                columns = [columns[0], columns[1], columns[2].cast(pa.int32()), columns[3].cast(pa.int32())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.int64())], ["part", "shape", "x", "y", "n"])
-
-    text = F.coalesce(F.col("text"), F.lit(""))
-    chosen = documents.select(text.alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
-    counted = (
-        chosen.mapInArrow(count, "part string, shape string, x int, y int, n long")
-        .groupBy("part", "shape", "x", "y")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "part", "shape", "x", "y")
-        .limit(shapes)
-        .collect()
-    )
-    by_shape: dict[str, np.ndarray] = {}
-    tables = {"chain": np.full((LABELS, LABELS), 0.5), "skip": np.full((LABELS, LABELS), 0.5)}
-    for row in counted:
-        if row.part == "shape":
-            by_shape.setdefault(row["shape"], np.full(LABELS, 0.2))[row.x] += row.n
-        else:
-            tables[row.part][row.x, row.y] += row.n
-            tables[row.part][row.y, row.x] += row.n
-
-    def more_than_chance(table: np.ndarray) -> np.ndarray:
-        table = table / table.sum()
-        return np.log(table) - np.log(table.sum(axis=1))[:, None] - np.log(table.sum(axis=0))[None, :]
+                found.update(_counts(text))
+        if found:
+            columns = [pa.array(c, pa.int32()) for c in zip(*found, strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.int64())], ["part", "key", "x", "y", "n"])
 
-    logs = {shape: np.log(n / n.sum()) for shape, n in by_shape.items()}
-    return SkipChain(logs, np.log(np.full(LABELS, 1 / LABELS)), more_than_chance(tables["chain"]), more_than_chance(tables["skip"]))
+    texts = documents.select("text").filter("text is not null")
+    counted = texts.mapInArrow(count, "part int, key int, x int, y int, n long").groupBy("part", "key", "x", "y")
+    return potentials(counted.agg(F.sum("n").alias("n")).collect())
 
 
 def find_spans(
-    df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", certainty: float = 0.8, carry: tuple[str, ...] = ()
+    df: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    certainty: float = 0.8,
+    carry: tuple[str, ...] = (),
+    trained: SkipChain | None = None,
 ) -> DataFrame:
     """Per document the id column, ``base`` and ``spans``: arrays of ``kind``, ``start``, ``end``, of the patterns alone and
-    with the field's. ``carry`` names columns that are kept."""
-    model = df.sparkSession.sparkContext.broadcast(train(df.select(F.col(text_col).alias("text"))))
+    with the field's. ``carry`` names columns that are kept. Where a ``trained`` model is given, a document's spans do not depend on
+    the other rows."""
+    model = df.sparkSession.sparkContext.broadcast(trained or train(df.select(F.col(text_col).alias("text"))))
     kept = list(dict.fromkeys([id_col, *carry]))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
@@ -312,11 +455,17 @@ def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
 
 
 def redact_documents(
-    df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", certainty: float = 0.8, carry: tuple[str, ...] = ()
+    df: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    certainty: float = 0.8,
+    carry: tuple[str, ...] = (),
+    trained: SkipChain | None = None,
 ) -> DataFrame:
     """``carry`` columns and the text with all spans, of the patterns and of the field, replaced by their kinds. A null
-    text stays null."""
-    model = df.sparkSession.sparkContext.broadcast(train(df.select(F.col(text_col).alias("text"))))
+    text stays null. ``trained`` as in ``find_spans``."""
+    model = df.sparkSession.sparkContext.broadcast(trained or train(df.select(F.col(text_col).alias("text"))))
     kept = [c for c in dict.fromkeys([id_col, *carry]) if c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
