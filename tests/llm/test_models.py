@@ -268,6 +268,7 @@ def test_message_passing_is_exact_on_a_tree():
     chain, skip = rng.normal(size=(5, 5)), rng.normal(size=(3, 5, 5))
     model = pii.SkipChain({}, np.zeros(5), {}, chain, skip)
     unary = rng.normal(size=(4, 5))
+    unary[2] = [-50.0, -50.0, 0.0, -50.0, -50.0]  # an observed node
     edges = {(0, 1): chain, (1, 2): chain, (0, 3): skip[1]}
     want = np.zeros((4, 5))
     for y in np.ndindex(5, 5, 5, 5):
